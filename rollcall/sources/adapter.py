@@ -83,8 +83,8 @@ class RetailAdapter:
         k, floor = F.col("s_suppkey").cast("int"), F.col("floor")
         region = F.col("r_name")
         delivered = F.col("delivered_workstations")
-        pool = F.floor(delivered * 8 / 100).cast("int")
-        allocated = F.floor(delivered * (55 + k % 35) / 100).cast("int")
+        pool = F.floor(delivered * 20 / 100).cast("int")
+        allocated = F.floor(delivered * (45 + k % 33) / 100).cast("int")
         zone = F.when(
             region == "AMERICA",
             F.when(F.col("n_nationkey") % 2 == 0, "America/Los_Angeles").otherwise(
@@ -96,7 +96,7 @@ class RetailAdapter:
             .join(self._table("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
             .join(self._table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .withColumn("floor", F.explode(F.sequence(F.lit(1), 2 + k % 2)))
-            .withColumn("delivered_workstations", 40 + (7 * k + 13 * floor) % 60)
+            .withColumn("delivered_workstations", 3 + (7 * k + 13 * floor) % 13)
         )
         return floors.select(
             _site(k).alias("workplace_code"),
@@ -288,27 +288,30 @@ class RetailAdapter:
     def planted(self) -> DataFrame:
         """What was planted, counted from the residues alone, as (key, value) rows."""
         k, day = F.col("c_custkey"), F.col("snapshot_date")
-        daily = self._daily()
-        left = (day > F.col("term_date")) & (k % 4 == 1)
-        hr = daily.agg(
-            F.count_distinct(F.when(left, k)).cast("double").alias(
+        left = F.coalesce(day > F.col("term_date"), F.lit(False))
+        hr = self._daily().agg(
+            F.count_distinct(F.when(left & (k % 4 == 1), k)).alias(
                 "hr_resigned_still_active_employees"
             ),
             F.count_if(
-                (day < F.col("hire_date"))
-                & F.coalesce(day <= F.col("term_date"), F.lit(True))
-                & (k % 5 == 2)
-            )
-            .cast("double")
-            .alias("hr_rows_before_hire_date"),
+                (day < F.col("hire_date")) & F.when(left, k % 4 == 1).otherwise(k % 5 == 2)
+            ).alias("hr_rows_before_hire_date"),
         )
         sites = self._table("supplier").agg(
-            F.count_if(F.col("s_suppkey") % 17 == 3)
-            .cast("double")
-            .alias("workplace_null_timezone_workplaces")
+            F.count_if(F.col("s_suppkey") % 17 == 3).alias("workplace_null_timezone_workplaces")
+        )
+        leavers = self.people().where("term_date IS NOT NULL").select("c_custkey", "term_date")
+        taps = (
+            self._table("events")
+            .where("event_id % 101 != 7")
+            .groupBy(F.col("user_id").alias("c_custkey"))
+            .agg(F.max("ts").cast("date").alias("last_day"))
+            .join(leavers, "c_custkey")
+            .agg(F.count_if(F.col("last_day") > F.col("term_date")).alias("tap_after_termination_employees"))
         )
-        return _long(hr).unionByName(_long(sites))
+        return _long(hr).unionByName(_long(sites)).unionByName(_long(taps))
 
 
 def _long(wide: DataFrame) -> DataFrame:
-    return wide.unpivot([], wide.columns, "key", "value")
+    counts = wide.select(*(F.col(c).cast("double").alias(c) for c in wide.columns))
+    return counts.unpivot([], wide.columns, "key", "value")

@@ -28,9 +28,9 @@ class TableStore:
 
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self._spark = spark
-        self._root = f"{folder or shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+        self.root = f"{folder or shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
 
     def put(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        path = f"{self._root}/{name}"
+        path = f"{self.root}/{name}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
