@@ -317,7 +317,7 @@ union all select 'badge_taps', count(*), count(distinct tap_ts_utc::date) from r
 
 _DATES = """
 select date_day, year(date_day) as year, month(date_day) as month, day(date_day) as day_of_month,
-       dayofweek(date_day) as day_of_week_sun0, isodow(date_day) - 1 as weekday_mon0,
+       dayofweek(date_day) as day_of_week_sun0, weekday_mon0,
        weekofyear(date_day) as iso_week, iso_year_week, is_weekend, dayname(date_day) as day_name
 from calendar
 """

@@ -22,7 +22,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def estate(spark: SparkSession, sf_dir: str) -> Estate:
-    return Estate(spark, RetailAdapter(spark, sf_dir).feeds())
+    return Estate(spark, RetailAdapter(spark, sf_dir))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -44,58 +44,53 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def _model(name: str, *settled: str) -> Query:
-    return lambda spark, sf: plain(estate(spark, sf).settle(*settled)[name])
+    return lambda spark, sf: estate(spark, sf).settle(*settled)[name]
 
 
 def taps_localised(spark, sf):
     e = estate(spark, sf)
     raw = staging.known_site_taps(e["badge_taps"], e["stg_workplace"])
     local = staging.localise(raw, e["stg_workplace"])
-    return plain(
-        local.select(
-            "emp_id",
-            "workplace_code",
-            "direction",
-            "device_id",
-            "tap_ts_utc",
-            "timezone",
-            "tap_ts_local",
-        )
+    return local.select(
+        "emp_id",
+        "workplace_code",
+        "direction",
+        "device_id",
+        "tap_ts_utc",
+        "timezone",
+        "tap_ts_local",
     )
 
 
 def taps_deduped(spark, sf):
     e = estate(spark, sf)
-    kept = staging.kept_taps(
+    return staging.kept_taps(
         e["badge_taps"], e["stg_workplace"], e.settings.repeat_window_seconds
     )
-    return plain(kept)
 
 
 def unknown_site_taps(spark, sf):
     e = estate(spark, sf)
-    return plain(staging.unknown_site_taps(e["badge_taps"], e["stg_workplace"]))
+    return staging.unknown_site_taps(e["badge_taps"], e["stg_workplace"])
 
 
 def population_spine(spark, sf):
     a = RetailAdapter(spark, sf)
     people = a.people().select("c_custkey", "hire_date", "term_date")
     days = presence.visible_days(people, a.start, a.end)
-    return plain(
-        days.groupBy("c_custkey").agg(
-            F.count(F.lit(1)).alias("visible_days"),
-            F.min("snapshot_date").alias("first_day"),
-            F.max("snapshot_date").alias("last_day"),
-        )
+    return days.groupBy("c_custkey").agg(
+        F.count(F.lit(1)).alias("visible_days"),
+        F.min("snapshot_date").alias("first_day"),
+        F.max("snapshot_date").alias("last_day"),
     )
 
 
 def state_counts(spark, sf):
-    return plain(reports.state_counts(estate(spark, sf)["int_employee_day"]))
+    return reports.state_counts(estate(spark, sf)["int_employee_day"])
 
 
 def state_composition(spark, sf):
-    return plain(reports.state_composition(estate(spark, sf)["int_employee_day"]))
+    return reports.state_composition(estate(spark, sf)["int_employee_day"])
 
 
 # -- metrics ------------------------------------------------------------------
@@ -108,7 +103,7 @@ def metric(name: str, dims=("region",), grain: str | None = None, **options) ->
         e = estate(spark, sf)
         if METRICS[name].is_composite:
             e.settle(CAPACITY)
-        return plain(MetricLayer(e).evaluate(name, dims, grain, **options))
+        return MetricLayer(e).evaluate(name, dims, grain, **options)
 
     return run
 
@@ -120,7 +115,7 @@ def metric_caller_filter(spark, sf):
 
 def metric_headlines(spark, sf):
     e = estate(spark, sf).settle("int_employee_day", ATTENDANCE, CAPACITY)
-    return plain(reports.headlines(MetricLayer(e)))
+    return reports.headlines(MetricLayer(e))
 
 
 # -- rules, contracts, tests --------------------------------------------------
@@ -128,21 +123,21 @@ def metric_headlines(spark, sf):
 
 def rule_violations(spark, sf):
     e = estate(spark, sf).settle("int_employee_day", ATTENDANCE, CAPACITY)
-    return plain(rules.violation_counts(e))
+    return rules.violation_counts(e)
 
 
 def gates(spark, sf):
     e = estate(spark, sf).settle("int_employee_day", ATTENDANCE, CAPACITY)
-    return plain(rules.gate_counts(e))
+    return rules.gate_counts(e)
 
 
 def contract_feeds(spark, sf):
-    feeds = RetailAdapter(spark, sf).feeds()
+    feeds = RetailAdapter(spark, sf)
     out = None
     for name, feed in feeds.items():
         part = contract_violations(feed, CONTRACTS[name])
         out = part if out is None else out.unionByName(part)
-    return plain(out)
+    return out
 
 
 # A contract the orders table does not keep, to see every kind of rule count something.
@@ -161,12 +156,12 @@ STRICT_ORDERS = Contract(
 
 
 def contract_orders(spark, sf):
-    return plain(contract_violations(table(spark, sf, "orders"), STRICT_ORDERS))
+    return contract_violations(table(spark, sf, "orders"), STRICT_ORDERS)
 
 
 def generic_tests(spark, sf):
     e = estate(spark, sf).settle(*SHARED)
-    return plain(table_test_results(e, TABLE_TESTS))
+    return table_test_results(e, TABLE_TESTS)
 
 
 RETAIL_TESTS = {
@@ -185,7 +180,7 @@ RETAIL_TESTS = {
 
 def generic_tests_retail(spark, sf):
     tables = {n: table(spark, sf, n) for n in ("orders", "customer", "events", "nation")}
-    return plain(table_test_results(tables, RETAIL_TESTS))
+    return table_test_results(tables, RETAIL_TESTS)
 
 
 # -- quality ------------------------------------------------------------------
@@ -196,7 +191,7 @@ RESULT = ("name", "category", "status", "value", "threshold")
 def _checks(names: tuple[str, ...], *settled: str) -> Query:
     def run(spark, sf):
         e = estate(spark, sf).settle(*settled)
-        return plain(quality.run_checks(e, names).select(*RESULT))
+        return quality.run_checks(e, names).select(*RESULT)
 
     return run
 
@@ -209,27 +204,27 @@ def _results(spark, sf) -> tuple[Estate, DataFrame]:
 def score(spark, sf):
     e, results = _results(spark, sf)
     as_of = F.lit("2025-09-01").cast("date")
-    return plain(scorecard.scorecard(results, scorecard.ledger(spark), as_of))
+    return scorecard.scorecard(results, scorecard.ledger(spark), as_of)
 
 
 def score_summary(spark, sf):
     e, results = _results(spark, sf)
     card = scorecard.scorecard(results, scorecard.ledger(spark))
-    return plain(scorecard.summary(card))
+    return scorecard.summary(card)
 
 
 def score_by_category(spark, sf):
     e, results = _results(spark, sf)
     card = scorecard.scorecard(results, scorecard.ledger(spark))
-    return plain(scorecard.by_category(card))
+    return scorecard.by_category(card)
 
 
 def recall(spark, sf):
     a = RetailAdapter(spark, sf)
-    e = Estate(spark, a.feeds()).settle("stg_workplace", "stg_badge_taps", "int_employee_scd2")
+    e = Estate(spark, a).settle("stg_badge_taps", "int_employee_scd2")
     graded = {d[2] for d in scorecard.DEFECTS}
     results = quality.run_checks(e, [n for n in quality.CHECKS if n in graded])
-    return plain(scorecard.recall(results, a.planted()))
+    return scorecard.recall(results, a.planted())
 
 
 def quality_samples(spark, sf):
@@ -242,14 +237,14 @@ def quality_samples(spark, sf):
     taps = s["tap_after_termination"].select(
         F.lit("tap_after_termination").alias("check"), "emp_id", F.col("taps").alias("rows")
     )
-    return plain(active.unionByName(taps))
+    return active.unionByName(taps)
 
 
 # -- reports ------------------------------------------------------------------
 
 
 def supply_ladder(spark, sf):
-    return plain(reports.supply_ladder(estate(spark, sf)[CAPACITY]))
+    return reports.supply_ladder(estate(spark, sf)[CAPACITY])
 
 
 def _realised(e: Estate) -> DataFrame:
@@ -264,25 +259,23 @@ def _realised(e: Estate) -> DataFrame:
 
 
 def realised_rates(spark, sf):
-    return plain(_realised(estate(spark, sf)))
+    return _realised(estate(spark, sf))
 
 
 def recovery(spark, sf):
-    e = estate(spark, sf).settle("stg_workplace", "stg_badge_taps")
+    e = estate(spark, sf).settle("stg_badge_taps")
     truth = _realised(e).select("region", F.col("realised_rate").alias("planted"))
-    return plain(reports.recovery(MetricLayer(e), truth))
+    return reports.recovery(MetricLayer(e), truth)
 
 
 def layer_counts(spark, sf):
-    return plain(estate(spark, sf).settle(*SHARED).layer_counts())
+    return estate(spark, sf).settle(*SHARED).layer_counts()
 
 
 def measure_audit(spark, sf):
     e = estate(spark, sf).settle("int_employee_day")
     profiled = governance.profile({m: e[m] for m in (ATTENDANCE, CAPACITY)})
-    return plain(
-        governance.audit_measures(profiled, governance.claims(spark), governance.waivers(spark))
-    )
+    return governance.audit_measures(profiled, governance.claims(spark), governance.waivers(spark))
 
 
 # -- sources ------------------------------------------------------------------
@@ -290,7 +283,7 @@ def measure_audit(spark, sf):
 
 def _landed(spark, sf) -> str:
     store = TableStore(spark)
-    feeds = RetailAdapter(spark, sf).feeds()
+    feeds = RetailAdapter(spark, sf)
     for name, feed in feeds.items():
         write_feed(feed, store.root, name)
     return store.root
@@ -320,16 +313,16 @@ def partitioned_roundtrip(spark, sf):
     for name, part in zip(names, parts):
         tagged = part.select(F.lit(name).alias("feed"), "rows", "days")
         out = tagged if out is None else out.unionByName(tagged)
-    return plain(out)
+    return out
 
 
 def landed_days(spark, sf):
     """Load report of the day feeds: rows and day partitions from the files themselves."""
     days = tuple(n for n in CONTRACTS if CONTRACTS[n].day)
-    return plain(load_report(spark, _landed(spark, sf), days))
+    return load_report(spark, _landed(spark, sf), days)
 
 
-QUERIES: dict[str, Query] = {
+MODELS: dict[str, Query] = {
     "q_workplace_space": _model("stg_workplace_space"),
     "q_workplace_rollup": _model("stg_workplace"),
     "q_city_primary": _model("stg_city_primary_workplace"),
@@ -403,3 +396,10 @@ QUERIES: dict[str, Query] = {
     "q_partitioned_roundtrip": partitioned_roundtrip,
     "q_landed_days": landed_days,
 }
+
+
+def _plain_query(query: Query) -> Query:
+    return lambda spark, sf: plain(query(spark, sf))
+
+
+QUERIES: dict[str, Query] = {name: _plain_query(q) for name, q in MODELS.items()}

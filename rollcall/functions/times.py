@@ -13,8 +13,13 @@ def local_time(ts_utc: Column, zone: Column) -> Column:
 
 
 def epoch_second(ts: Column) -> Column:
-    """Whole seconds since 1970 of a zone-less timestamp."""
-    return F.timestamp_diff("SECOND", F.expr("timestamp_ntz'1970-01-01'"), ts)
+    """Whole seconds since 1970 of a zone-less timestamp.
+
+    Built from its calendar fields: differences of timestamps would first be moved to the
+    session's zone, where a clock change can hide or repeat an hour.
+    """
+    day = F.unix_date(ts.cast("date")).cast("bigint")
+    return day * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
 def seconds_crossed(start: Column, end: Column) -> Column:
@@ -22,9 +27,14 @@ def seconds_crossed(start: Column, end: Column) -> Column:
     return epoch_second(end) - epoch_second(start)
 
 
+def epoch_minute(ts: Column) -> Column:
+    day = F.unix_date(ts.cast("date")).cast("bigint")
+    return day * 1440 + F.hour(ts) * 60 + F.minute(ts)
+
+
 def minutes_crossed(start: Column, end: Column) -> Column:
     """Minute boundaries between two timestamps."""
-    return F.floor(epoch_second(end) / 60) - F.floor(epoch_second(start) / 60)
+    return epoch_minute(end) - epoch_minute(start)
 
 
 def days_inclusive(start: Column, end: Column) -> Column:

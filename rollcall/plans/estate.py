@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +43,6 @@ LAYERS: dict[str, tuple[str, ...]] = {
 
 # Tables that more than one consumer reads, in dependency order.
 SHARED = (
-    "stg_workplace",
     "stg_badge_taps",
     "int_employee_scd2",
     "int_employee_day",
@@ -54,19 +53,23 @@ SHARED = (
 
 
 class Estate:
-    """Names to DataFrames. A table is a lazy plan until `settle` writes it to the store."""
+    """Names to DataFrames. A table is a lazy plan until `settle` writes it to the store.
+
+    Two tables are stored as soon as they are asked for: the sites and the kept taps.
+    """
 
     def __init__(
         self,
         spark: SparkSession,
-        feeds: dict[str, DataFrame],
+        feeds: Mapping[str, DataFrame],
         settings: Settings | None = None,
         store: TableStore | None = None,
     ) -> None:
         self.spark = spark
         self.settings = settings or Settings()
         self._store = store
-        self._tables: dict[str, DataFrame] = dict(feeds)
+        self._feeds = feeds
+        self._tables: dict[str, DataFrame] = {}
         self._recipes: dict[str, Callable[[], DataFrame]] = self._graph()
 
     @property
@@ -77,7 +80,8 @@ class Estate:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self._recipes[name]()
+            recipe = self._recipes.get(name)
+            self._tables[name] = recipe() if recipe else self._feeds[name]
         return self._tables[name]
 
     def settle(self, *names: str) -> Estate:
@@ -94,7 +98,11 @@ class Estate:
         return {
             "stg_hr_employee_snapshot": lambda: staging.hr_snapshot(t("hr_employee_snapshot")),
             "stg_workplace_space": lambda: staging.workplace_space(t("workplace_dim")),
-            "stg_workplace": lambda: staging.workplace(t("stg_workplace_space")),
+            # Stored at once: nearly every model joins the sites, and the size of the written
+            # table, not an estimate, decides whether such a join is broadcast.
+            "stg_workplace": lambda: self.store.put(
+                "stg_workplace", staging.workplace(t("stg_workplace_space"))
+            ),
             "stg_city_primary_workplace": lambda: staging.city_primary_workplace(
                 t("stg_workplace")
             ),
@@ -146,6 +154,11 @@ class Estate:
             ),
         }
 
+    def close(self) -> None:
+        """Delete the stored tables; frames that read them stop working."""
+        if self._store is not None:
+            self._store.drop()
+
     def layer_counts(self) -> DataFrame:
         """Rows of every table, tagged with its layer."""
         parts = [

@@ -9,12 +9,16 @@ and reversed leave, postings, joiners, leavers, and people still reported active
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.measures import label
 from rollcall.operators.intervals import day_bounds
 from rollcall.plans.presence import visible_days
+from rollcall.sources.contracts import CONTRACTS
 
 # Region names of the test tables, and the zone of each of their sites.
 REGION_CODES = {
@@ -53,32 +57,61 @@ def _plus(day: Column, offset: Column) -> Column:
     return F.date_add(day, offset.cast("int"))
 
 
+# Stated rather than inferred, so that naming a table runs no job.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-class RetailAdapter:
+class RetailAdapter(Mapping[str, DataFrame]):
+    """The feeds by name, each derived when it is first asked for."""
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self._spark = spark
         self._dir = sf_dir
-        self.start, self.end = day_bounds(
-            self._table("events").select(F.col("ts").cast("date").alias("d")), "d"
-        )
-        self._sites = self._table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
+
+    def __getitem__(self, feed: str) -> DataFrame:
+        if feed not in CONTRACTS:
+            raise KeyError(feed)
+        return getattr(self, feed)()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(CONTRACTS)
+
+    def __len__(self) -> int:
+        return len(CONTRACTS)
+
+    @cached_property
+    def _bounds(self) -> tuple[Column, Column]:
+        return day_bounds(self._table("events").select(F.col("ts").cast("date").alias("d")), "d")
+
+    @property
+    def start(self) -> Column:
+        return self._bounds[0]
+
+    @property
+    def end(self) -> Column:
+        return self._bounds[1]
+
+    @cached_property
+    def _sites(self) -> Column:
+        return self._table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
 
     def _table(self, name: str) -> DataFrame:
         return table(self._spark, self._dir, name)
 
-    def feeds(self) -> dict[str, DataFrame]:
-        return {
-            "hr_employee_snapshot": self.hr_employee_snapshot(),
-            "badge_taps": self.badge_taps(),
-            "leave_requests": self.leave_requests(),
-            "travel_bookings": self.travel_bookings(),
-            "workplace_dim": self.workplace_dim(),
-            "dept_schedule": self.dept_schedule(),
-        }
-
     def workplace_dim(self) -> DataFrame:
         k, floor = F.col("s_suppkey").cast("int"), F.col("floor")
         region = F.col("r_name")
@@ -165,7 +198,11 @@ class RetailAdapter:
         )
 
     def _daily(self) -> DataFrame:
-        return visible_days(self.people(), self.start, self.end).withColumn(
+        # Spread the people first: each becomes up to a window's worth of days. The number is
+        # the session's own, since an adaptive one would go by the size before the expansion.
+        tasks = int(self._spark.conf.get("spark.sql.shuffle.partitions"))
+        people = self.people().repartition(tasks, "c_custkey")
+        return visible_days(people, self.start, self.end).withColumn(
             "i", F.date_diff("snapshot_date", self.start).cast("bigint")
         )
 

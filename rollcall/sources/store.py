@@ -34,3 +34,9 @@ class TableStore:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Delete every table of this run."""
+        jvm = self._spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
