@@ -26,7 +26,8 @@ def anchor_day(
     a heavy pair can still be split by the adaptive skew join because the other side has one
     row for it. Entries come before exits at equal times.
 
-    `events` is read three times, so pass a stored table rather than a long plan.
+    The days table grows with the events, hence the merge hint: it is never broadcast on the
+    strength of an estimate. `events` is read three times, so pass a stored table rather than a long plan.
     `max_age_days` stops an exit from reaching back further; the default has no such limit.
     """
     events = events.withColumn("_day", clock_day).withColumn(
@@ -53,7 +54,7 @@ def anchor_day(
     entries = events.where("_entry").withColumn(out, F.col("_day"))
     exits = (
         events.where("NOT _entry")
-        .join(days, [entity, "_day"], "left")
+        .join(days.hint("merge"), [entity, "_day"], "left")
         .withColumn(out, anchor)
         .drop("_first", "_before")
     )

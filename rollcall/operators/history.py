@@ -26,7 +26,8 @@ def versions(
     plan has a single exchange.
     """
     by_day = W.partitionBy(key).orderBy(as_of)
-    changed = ~F.lag("_print").over(by_day).eqNullSafe(F.col("_print"))
+    is_first = F.row_number().over(by_day) == 1
+    changed = is_first | ~F.lag("_print").over(by_day).eqNullSafe(F.col("_print"))
     numbered = (
         df.withColumn("_print", fingerprint)
         .withColumn("_starts", changed.cast("int"))

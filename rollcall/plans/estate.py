@@ -55,7 +55,8 @@ SHARED = (
 class Estate:
     """Names to DataFrames. A table is a lazy plan until `settle` writes it to the store.
 
-    Two tables are stored as soon as they are asked for: the sites and the kept taps.
+    Two tables are stored as soon as they are asked for: the sites and the kept taps. A model
+    given along with the feeds (from an earlier run, say) is taken as it is.
     """
 
     def __init__(
@@ -80,8 +81,8 @@ class Estate:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
-            recipe = self._recipes.get(name)
-            self._tables[name] = recipe() if recipe else self._feeds[name]
+            given = self._feeds.get(name)
+            self._tables[name] = self._recipes[name]() if given is None else given
         return self._tables[name]
 
     def settle(self, *names: str) -> Estate:

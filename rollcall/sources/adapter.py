@@ -12,11 +12,10 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.measures import label
-from rollcall.operators.intervals import day_bounds
 from rollcall.plans.presence import visible_days
 from rollcall.sources.contracts import CONTRACTS
 
@@ -94,20 +93,25 @@ class RetailAdapter(Mapping[str, DataFrame]):
         return len(CONTRACTS)
 
     @cached_property
-    def _bounds(self) -> tuple[Column, Column]:
-        return day_bounds(self._table("events").select(F.col("ts").cast("date").alias("d")), "d")
+    def _constants(self) -> Row:
+        """First and last event day and the number of sites: read once, then literals."""
+        days = self._table("events").agg(
+            F.min("ts").cast("date").alias("start"), F.max("ts").cast("date").alias("end")
+        )
+        sites = self._table("supplier").agg(F.count(F.lit(1))).scalar()
+        return days.select("start", "end", sites.alias("sites")).first()
 
     @property
     def start(self) -> Column:
-        return self._bounds[0]
+        return F.lit(self._constants["start"])
 
     @property
     def end(self) -> Column:
-        return self._bounds[1]
+        return F.lit(self._constants["end"])
 
-    @cached_property
+    @property
     def _sites(self) -> Column:
-        return self._table("supplier").agg(F.count(F.lit(1)).alias("n")).scalar()
+        return F.lit(self._constants["sites"])
 
     def _table(self, name: str) -> DataFrame:
         return table(self._spark, self._dir, name)
