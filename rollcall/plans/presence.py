@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.measures import label
@@ -257,7 +257,26 @@ def employee_day(
     )
 
 
-def visible_days(people: DataFrame, start, end, before_hire: int = 14, after_exit: int = 30):
+def weekday_policy(divisions: DataFrame, published: Column | None = None) -> DataFrame:
+    """One policy row per division and weekday (Monday 0) from the office days it names.
+
+    `divisions` holds dept_l2, dept_l1, office_days (array) and policy_version; `published`
+    lists the weekdays to give rows for, all seven by default.
+    """
+    week = F.sequence(F.lit(0), F.lit(6)) if published is None else published
+    return divisions.withColumn("weekday", F.explode(week)).select(
+        "dept_l2",
+        "dept_l1",
+        "weekday",
+        F.array_contains("office_days", F.col("weekday")).alias("is_scheduled_office_day"),
+        F.size("office_days").alias("required_days_per_week"),
+        "policy_version",
+    )
+
+
+def visible_days(
+    people: DataFrame, start: Column, end: Column, before_hire: int = 14, after_exit: int = 30
+) -> DataFrame:
     """Days on which each person appears in the snapshot, within [start, end].
 
     An interval expansion per person, so there is no range join.

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.functions.measures import label
-from rollcall.plans.presence import visible_days
+from rollcall.plans.presence import visible_days, weekday_policy
 from rollcall.sources.contracts import CONTRACTS
 
 # Region names of the test tables, and the zone of each of their sites.
@@ -253,8 +253,8 @@ class RetailAdapter(Mapping[str, DataFrame]):
             .when(kind == 1, F.array(*map(F.lit, (1, 2, 3, 4))))
             .otherwise(F.array(*map(F.lit, (0, 1, 2, 3, 4))))
         )
-        # One division publishes working days only, so its weekends have no policy row.
-        known = F.when(kind == 0, F.sequence(F.lit(0), F.lit(4))).otherwise(
+        # One kind publishes working days only, so its weekends have no policy row.
+        published = F.when(kind == 0, F.sequence(F.lit(0), F.lit(4))).otherwise(
             F.sequence(F.lit(0), F.lit(6))
         )
         divisions = (
@@ -262,19 +262,13 @@ class RetailAdapter(Mapping[str, DataFrame]):
             .select(
                 F.concat("c_mktsegment", F.lit("-"), part.cast("string")).alias("dept_l2"),
                 F.col("c_mktsegment").alias("dept_l1"),
-                days.alias("days"),
-                known.alias("known"),
+                days.alias("office_days"),
+                published.alias("published"),
+                F.lit("v1").alias("policy_version"),
             )
             .distinct()
         )
-        return divisions.withColumn("weekday", F.explode("known")).select(
-            "dept_l2",
-            "dept_l1",
-            "weekday",
-            F.array_contains("days", F.col("weekday")).alias("is_scheduled_office_day"),
-            F.size("days").alias("required_days_per_week"),
-            F.lit("v1").alias("policy_version"),
-        )
+        return weekday_policy(divisions, F.col("published"))
 
     def leave_requests(self) -> DataFrame:
         k = F.col("o_orderkey")

@@ -185,3 +185,12 @@ def test_versions_open_on_change_and_survive_gaps(spark):
         ("e", 3, d(4), d(9), 2, True, 5),
         ("f", 1, d(1), d(2), 2, True, 7),
     ]
+
+
+def test_a_policy_expands_to_a_row_per_weekday(spark):
+    from rollcall.plans.presence import weekday_policy
+
+    df = spark.sql("SELECT 'a-1' AS dept_l2, 'a' AS dept_l1, array(0, 2) AS office_days, 'v1' AS policy_version")
+    rows = weekday_policy(df).orderBy("weekday").collect()
+    assert [r["is_scheduled_office_day"] for r in rows] == [True, False, True] + [False] * 4
+    assert {r["required_days_per_week"] for r in rows} == {2}
