@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 from rollcall.llm import (
     decontamination,
     language_id,
+    language_model,
     line_dedup,
     near_dedup,
     nearest,
     packing,
     secrets,
+    substring_dedup,
     token_counts,
 )
 from rollcall.llm.shared import crc_mod, table
@@ -26,11 +28,20 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -78,7 +89,9 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_line_dedup,
+        op2_language_model,
         op3_token_counts,
+        op4_substring_dedup,
         op5_secret_scan,
         op6_packing,
         op7_nearest,
@@ -114,6 +127,28 @@ judged as (
 select doc_id, count(*) as n_lines, count(*) filter (dropped) as n_dropped,
     sha256(coalesce(string_agg(line, chr(10) order by pos) filter (not dropped), '')) as kept_sha256
 from judged group by doc_id
+""",
+    "op4_substring_dedup": """
+with words as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words from documents
+),
+windows as (
+    select doc_id, pos, hash(array_to_string(words[pos : pos + 12], ' ')) as a, md5_number(array_to_string(words[pos : pos + 12], ' ')) as b
+    from (select *, unnest(range(1, len(words) - 11)) as pos from words)
+),
+firsts as (select a, b, min(doc_id) as first_doc from windows group by a, b),
+gone as (
+    select distinct w.doc_id, w.pos + k.k as pos
+    from windows w join firsts f on w.a = f.a and w.b = f.b and f.first_doc < w.doc_id, range(13) k(k)
+),
+kept as (
+    select w.doc_id, w.word, w.pos, g.pos is not null as removed
+    from (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as pos from words) w
+    left join gone g on g.doc_id = w.doc_id and g.pos = w.pos
+)
+select d.doc_id, count(k.pos) as n_words, count(k.pos) filter (k.removed) as n_removed,
+    sha256(coalesce(string_agg(k.word, ' ' order by k.pos) filter (not k.removed), '')) as kept_sha256
+from words d left join kept k on k.doc_id = d.doc_id group by d.doc_id
 """,
     "op8_decontamination": """
 with doc_words as (
