@@ -42,7 +42,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     groups = near_dedup.near_duplicates(docs)
     gone = groups.where("not kept").select(F.col("doc_id").alias("of_doc")).distinct()
     docs = only(docs, *_held(docs))
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["of_doc"]), "left_anti")
+    left = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["of_doc"]), "left_anti")
     return left.dropDuplicates(["doc_id"])
 
 

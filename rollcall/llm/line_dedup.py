@@ -253,7 +253,7 @@ def without_repeated_lines(docs: DataFrame, index: LineIndex, columns: list[str]
     drops = drops.select(F.col("doc_id").alias("of_doc"), "ids")
     docs = only(docs, *columns)
     lines = F.when(F.col("ids").isNotNull(), F.filter(lines_of(F.col("text")), lambda x: ~(x["long"] & F.array_contains("ids", x["id"]))))
-    joined = docs.join(drops, docs["doc_id"].eqNullSafe(drops["of_doc"]), "left").withColumn("left_lines", lines)
+    joined = docs.join(drops.hint("merge"), docs["doc_id"].eqNullSafe(drops["of_doc"]), "left").withColumn("left_lines", lines)
     n_lines = F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long")
     joined = joined.withColumn("n_lines", n_lines)
     text = F.when(F.col("ids").isNull(), F.coalesce("text", F.lit(""))).otherwise(

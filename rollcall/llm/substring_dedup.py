@@ -421,6 +421,6 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     runs = runs.select(F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"), "gone")
     same = docs["doc_id"].eqNullSafe(runs["of_doc"]) & (docs["mark"] == runs["of_mark"])
     gone = F.transform("gone", lambda x: F.array(x["start"], x["windows"]))
-    joined = docs.join(runs, same, "left").select("doc_id", "text", gone.alias("gone"))
+    joined = docs.join(runs.hint("merge"), same, "left").select("doc_id", "text", gone.alias("gone"))
     schema = f"{kind_of(docs, 'doc_id')}, n_words long, n_removed long, kept string, kept_sha256 string"
     return joined.mapInArrow(_cut, schema)
