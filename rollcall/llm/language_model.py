@@ -177,10 +177,10 @@ def _grams(docs: DataFrame, ids: dict[int, int], order: int) -> DataFrame:
             found = []
             for text in batch.column("text").to_pylist():
                 words = [*words_of(text), END]
+                if len(own) > 400_000:
+                    own.clear()
                 for w in words:
                     if w not in own:
-                        if len(own) > 400_000:
-                            own.clear()
                         own[w] = sent.value.get(int(signed(_hashes.array([w]))[0]), -1)
                 found += [START, *map(own.__getitem__, words), -1]
             x = np.array(found, np.int64)
