@@ -34,8 +34,8 @@ COMPONENTS = 224
 ROWS_PER_BAND = 7
 #: Elements whose permutations are held at once; longer sets are signed in pieces.
 ELEMENTS_AT_ONCE = 20_000
-#: Rounds in which each open bucket is tried against one more of its members before all pairs left are compared.
-STAR_ROUNDS = 3
+#: Members of a bucket that are compared in one task; larger buckets are compared by pairs of such blocks.
+BLOCK = 512
 
 _hashes = WordHashes()
 
@@ -100,7 +100,8 @@ def _signed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
         found = signatures(sets)
         bits = mixed(np.nan_to_num(found, posinf=0.0).view(np.uint64))
-        bands = np.zeros((len(sets), COMPONENTS // ROWS_PER_BAND), np.uint64)
+        n_bands = COMPONENTS // ROWS_PER_BAND
+        bands = np.tile(np.arange(n_bands, dtype=np.uint64), (len(sets), 1))
         for i in range(ROWS_PER_BAND):
             bands = mixed(bands * GOLDEN + bits[:, i::ROWS_PER_BAND])
         sketch = (bits & np.uint64(0xFF)).astype(np.uint8)
@@ -131,17 +132,27 @@ def _verified(min_percent: int):
     return confirm
 
 
-def _alike(least: float):
-    def alike(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Pairs whose signatures agree in at least a share `least` of the components."""
-        for pdf in pdfs:
-            if len(pdf):
-                one, other = (
-                    np.frombuffer(b"".join(pdf[c]), np.uint8).reshape(len(pdf), -1) for c in ("sketch_a", "sketch_b")
-                )
-                yield pdf.loc[(one == other).mean(axis=1) >= least, ["a", "b"]]
+def _agreeing(least: float, min_percent: int):
+    def agreeing(table: pa.Table) -> pa.Table:
+        """Pairs of a block pair whose signatures agree in a share `least` of the components, whose sizes allow the
+        similarity, and that lie in two components; a pair is told in the first bucket it shares only."""
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(len(table), -1)
+        node, component, n, block = (table.column(c).to_numpy() for c in ("node", "component", "n_shingles", "block"))
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(table), -1)
+        here = np.flatnonzero(bands[0] == table.column("bucket")[0].as_py())[0]
+        one, other = np.flatnonzero(block == block.min()), np.flatnonzero(block == block.max())
+        left, right = [], []
+        for i in one:
+            js = other[(node[other] > node[i]) | (block[other] != block[i])]
+            fits = 100 * np.minimum(n[i], n[js]) >= min_percent * np.maximum(n[i], n[js])
+            js = js[fits & (component[js] != component[i])]
+            js = js[(sketch[js] == sketch[i]).mean(axis=1) >= least]
+            js = js[~(bands[js, :here] == bands[i, :here]).any(axis=1)]
+            left.append(np.full(len(js), node[i]))
+            right.append(node[js])
+        return pa.table({"a": np.concatenate(left), "b": np.concatenate(right)})
 
-    return alike
+    return agreeing
 
 
 def connected(scratch: Scratch, edges: DataFrame) -> DataFrame:
@@ -172,80 +183,73 @@ def near_duplicates(docs: DataFrame, min_percent: int = 85) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Documents with equal sets form a class by a 128-bit digest; only its smallest id goes on. Classes that share a
-    band meet in a bucket. In each bucket every class is compared with one member; classes still in different
-    components are compared with further members, and last with each other, so that no pair of a bucket that lies in
-    two components goes unexamined. A pair whose signatures agree in under 70 percent of the components (six standard
-    deviations from 85) isn't compared on its texts."""
+    band meet in a bucket. In each bucket every class is compared with the first; classes still in different
+    components are compared with the member that shares most buckets, and last with each other by their signatures, so
+    that no pair of a bucket that lies in two components goes unexamined. There a pair whose signatures agree in fewer
+    components than the similarity less four of its standard deviations isn't compared on its texts."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     docs = only(docs, "doc_id", "text")
+    share = min_percent / 100
+    least = share - 4 * (share * (1 - share) / COMPONENTS) ** 0.5
     schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
     signs = scratch.put(docs.mapInArrow(_signed_batches, schema), "signatures")
     classes = signs.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     classes = scratch.put(classes, "classes")
     chosen = classes.where("node is not null").withColumnRenamed("node", "doc_id")
     nodes = scratch.put(
-        signs.join(chosen, ["digest", "doc_id"]).select("doc_id", "digest", "n_shingles", "bands", "sketch").distinct(),
+        signs.join(chosen, ["digest", "doc_id"]).select(
+            F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch"
+        ),
         "nodes",
     )
-    entries = nodes.select(F.col("doc_id").alias("node"), "n_shingles", F.posexplode("bands").alias("band", "value"))
-    buckets = entries.groupBy("band", "value").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    entries = scratch.put(
-        entries.join(buckets.where("low != high").select("band", "value"), ["band", "value"]), "entries"
-    )
-    sketches = nodes.select("doc_id", "sketch")
-    texts = nodes.select("doc_id", "digest")
-    least = max(0.0, min_percent / 100 - 0.15)
+    entries = nodes.select("node", F.explode("bands").alias("bucket"))
+    shared = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    shared = shared.where("low != high").select("bucket")
+    entries = scratch.put(entries.join(shared, "bucket").distinct(), "entries")
+    members = entries.select("node").distinct()
+    sketches = nodes.join(members.hint("merge"), "node", "left_semi").select("node", "n_shingles", "bands", "sketch")
+    sketches = scratch.put(sketches.dropDuplicates(["node"]), "sketches")
+    texts = docs.join(members.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    texts = scratch.put(texts.dropDuplicates(["doc_id"]), "texts")
+    degree = entries.join(entries.groupBy("bucket").count(), "bucket").groupBy("node").agg(F.sum("count").alias("degree"))
+    entries = scratch.put(entries.join(degree, "node"), "degrees")
+    scratch.drop(nodes)
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct()
-        pairs = (
-            pairs.join(sketches.toDF("a", "sketch_a"), "a")
-            .join(sketches.toDF("b", "sketch_b"), "b")
-            .mapInPandas(_alike(least), "a long, b long")
-        )
-        pairs = scratch.put(pairs, "pairs")
-        needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        whole = scratch.put(
-            docs.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts"
-        )
-        links = scratch.put(
-            pairs.join(whole.toDF("b", "text_b"), "b")
-            .join(whole.toDF("a", "text_a"), "a")
-            .select("a", "b", "text_a", "text_b")
-            .mapInPandas(_verified(min_percent), "a long, b long"),
-            "confirmed",
-        )
-        scratch.drop(whole, pairs)
-        return links
+        whole = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+        links = whole.select("a", "b", "text_a", "text_b").mapInPandas(_verified(min_percent), "a long, b long")
+        return scratch.put(links, "confirmed")
+
+    def still_open(component: DataFrame | None) -> DataFrame:
+        """Entries of buckets whose members lie in several components."""
+        if component is None:
+            return entries.withColumn("component", F.col("node"))
+        labelled = entries.join(component.toDF("node", "c"), "node", "left")
+        labelled = labelled.select("bucket", "node", "degree", F.coalesce("c", "node").alias("component"))
+        split = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        return scratch.put(labelled.join(split.where("low != high").select("bucket"), "bucket"), "open")
 
     sized = f"100 * least(n_a, n_b) >= {int(min_percent)} * greatest(n_a, n_b)"
-    links, component, labelled = None, None, entries.withColumn("component", F.col("node"))
-    for turn in range(STAR_ROUNDS + 1):
-        if turn:
-            labelled = entries.join(component.toDF("node", "c"), "node", "left")
-            labelled = labelled.withColumn("component", F.coalesce("c", "node")).drop("c")
-        open_ = labelled.groupBy("band", "value").agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "component", "n_shingles")).alias("star"),
-        )
-        open_ = open_.where("low != high")
-        left = scratch.put(labelled.join(open_.select("band", "value", "star"), ["band", "value"]), "open")
-        if turn and left.isEmpty():
-            break
-        one = left.select("band", "value", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("n_shingles").alias("n_a"))
-        if turn < STAR_ROUNDS:
-            pairs = left.select(
-                F.col("star.node").alias("a"), F.col("star.component").alias("of_a"), F.col("star.n_shingles").alias("n_a"),
-                F.col("node").alias("b"), F.col("component").alias("of_b"), F.col("n_shingles").alias("n_b"),
-            )
-        else:
-            pairs = one.join(one.toDF("band", "value", "b", "of_b", "n_b"), ["band", "value"]).where("a < b")
-        found = confirmed(pairs.where("of_a != of_b").where(sized).select("a", "b"))
-        scratch.drop(left)
+    sizes = sketches.select("node", "n_shingles")
+    links, component = None, None
+    for star in (F.struct("node", "component"), F.struct((-F.col("degree")).alias("least"), "node", "component")):
+        left = still_open(component)
+        stars = left.groupBy("bucket").agg(F.min(star).alias("star"))
+        pairs = left.join(stars, "bucket").where("star.component != component").select(F.col("star.node").alias("a"), F.col("node").alias("b"))
+        pairs = pairs.distinct().join(sizes.toDF("a", "n_a"), "a").join(sizes.toDF("b", "n_b"), "b").where(sized)
+        found = confirmed(pairs.select("a", "b"))
         links = found if links is None else links.union(found)
         component = connected(scratch, links)
+    left = still_open(component)
+    blocks = left.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("long").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    left = left.join(blocks, "bucket").withColumn("block", block).join(sketches, "node")
+    met = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("x"), F.greatest("block", k).alias("y")))
+    left = left.withColumn("met", F.explode(met)).select("bucket", "met", "node", "component", "n_shingles", "bands", "sketch", "block")
+    pairs = left.groupBy("bucket", "met").applyInArrow(_agreeing(least, min_percent), "a long, b long")
+    links = links.union(confirmed(scratch.put(pairs, "pairs")))
+    component = connected(scratch, links)
     result = classes.join(component.toDF("node", "c"), "node", "left").select(
         "digest", F.coalesce("c", "node").alias("component")
     )
