@@ -110,6 +110,38 @@ def runs_hashed(hashes: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+_BLANK = np.isin(np.arange(256), np.frombuffer(b" \t\n\x0b\x0c\r", np.uint8))
+
+
+class SplitTexts:
+    """The words of some UTF-8 texts without an object for each: begin and end in `raw`, the text's row, a 64-bit hash.
+    A hash takes a word's length and its bytes in steps of eight, all words at once."""
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b"\n".join([*texts, b""]) + bytes(8)
+        n = len(self.raw) - 8
+        blank = _BLANK[np.frombuffer(self.raw, np.uint8, n)]
+        edges = np.flatnonzero(np.concatenate([~blank[:1], blank[1:] != blank[:-1]]))
+        self.begin, self.end = edges[0::2], edges[1::2]
+        bounds = np.cumsum([len(t) + 1 for t in texts]) if texts else np.empty(0, np.int64)
+        self.row = np.searchsorted(bounds, self.begin, "right")
+        length = self.end - self.begin
+        eights = np.ndarray((n + 1,), "<u8", self.raw, strides=(1,))
+        self.hash = mixed(length.astype(np.uint64))
+        left, step = np.arange(len(length)), 0
+        while len(left):
+            value = eights[self.begin[left] + step]
+            short = np.minimum(length[left] - step, 8).astype(np.uint64)
+            value &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * short)
+            self.hash[left] = mixed(self.hash[left] * GOLDEN + value)
+            step += 8
+            left = left[length[left] > step]
+
+    def between(self, first: int, last: int) -> bytes:
+        """Words first to last, joined by one space."""
+        return b" ".join(self.raw[self.begin[first] : self.end[last]].split())
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from rollcall.llm.shared import (
     GOLDEN,
     Scratch,
-    WordHashes,
+    SplitTexts,
     kind_of,
     mixed,
     only,
@@ -50,9 +50,10 @@ PAGE_BITS = 1 << 19
 #: Segments that a shard's index is built from, and distinct segments of one seed beyond which windows are dealt alone.
 SHARD_SEGMENTS = 20_000
 SEED_SEGMENTS = 5_000
+#: Symbols whose intervals are looked up before a search goes on backwards; a power of two below the window.
+LOOKED_UP = 8
 LAST = np.iinfo(np.int64).max
 
-_hashes = WordHashes()
 _POWERS = {}
 
 
@@ -69,15 +70,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Segments:
-    """The segments of some texts, as arrays: row (of the text), start (word in it), windows, seed, content."""
+    """The segments of some texts, as arrays: row (of the text), start (word in it), first (word of all), windows,
+    seed, content."""
 
     def __init__(self, texts: list[str | None], size: int = WINDOW):
-        self.words = [t.encode("utf-8", "replace").split() if t else [] for t in texts]
-        lengths = np.array([len(w) for w in self.words], np.int64)
-        flat = _hashes.array([w for words in self.words for w in words])
-        begins = np.concatenate([[0], np.cumsum(lengths)])
+        self.split = SplitTexts([t.encode("utf-8", "replace") if t else b"" for t in texts])
+        flat, row_of = self.split.hash, self.split.row
+        begins = np.searchsorted(row_of, np.arange(len(texts)))
         n = len(flat)
-        self.row = self.start = self.windows = np.empty(0, np.int64)
+        self.first = self.row = self.start = self.windows = np.empty(0, np.int64)
         self.seed = self.content = np.empty(0, np.int64)
         if n < size:
             return
@@ -88,7 +89,6 @@ class Segments:
         while 2 * width <= span:
             least, width = np.minimum(least[:-width], least[width:]), 2 * width
         least = np.minimum(least[: n - size + 1], least[span - width :][: n - size + 1])
-        row_of = np.repeat(np.arange(len(lengths)), lengths)
         inside = row_of[: n - size + 1] == row_of[size - 1 :]
         at = np.flatnonzero(inside)
         if not len(at):
@@ -98,6 +98,7 @@ class Segments:
         first = np.flatnonzero(cut)
         begin = at[first]
         self.windows = np.diff(np.concatenate([first, [len(at)]]))
+        self.first = begin
         self.row = row_of[begin]
         self.start = begin - begins[self.row]
         up, down = _powers(n + 1)
@@ -112,8 +113,7 @@ class FmIndex:
     one bit vector per bit of a symbol, in 64-bit words with the ranks at their beginnings."""
 
     def __init__(self, text: np.ndarray, longest: int):
-        order = self._sorted(text, longest)
-        self.order = order
+        self.order = order = self._sorted(text, longest)
         n = len(text)
         self.n, self.bits = n, max(1, int(text.max()).bit_length()) if n else 1
         self.smaller = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=1))])
@@ -129,19 +129,23 @@ class FmIndex:
             self.levels.append((words, ranks, n - int(on.sum())))
             symbols = np.concatenate([symbols[~on], symbols[on]])
 
-    @staticmethod
-    def _sorted(text: np.ndarray, longest: int) -> np.ndarray:
-        """Positions ordered by the next `longest` symbols at least, by doubling; that is all a search that long reads."""
+    def _sorted(self, text: np.ndarray, longest: int) -> np.ndarray:
+        """Positions ordered by the next `longest` symbols at least, by doubling; that is all a search that long reads.
+        On the way the intervals of all patterns of LOOKED_UP symbols are kept, where searches begin."""
         rank, width = text.astype(np.int64), 1
         order = np.argsort(rank, kind="stable")
-        while width <= longest:
+        while True:
+            if width == LOOKED_UP:
+                ends = np.cumsum(np.bincount(rank))
+                self.low, self.high = (ends - np.bincount(rank))[rank], ends[rank]
+            if width > longest:
+                return order
             following = np.concatenate([rank[width:] + 1, np.zeros(min(width, len(rank)), np.int64)])[: len(rank)]
             key = rank * (int(rank.max(initial=0)) + int(following.max(initial=0)) + 2) + following
             order = np.argsort(key, kind="stable")
             new = np.empty_like(rank)
             new[order] = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
             rank, width = new, 2 * width
-        return order
 
     def _ones(self, level: int, i: np.ndarray) -> np.ndarray:
         words, ranks, _ = self.levels[level]
@@ -149,14 +153,6 @@ class FmIndex:
         below = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
         return ranks[block] + np.bitwise_count(words[block] & below)
 
-    def rank(self, symbol: np.ndarray, i: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """How often symbols stand before i in the transform; begin(symbol) is where its run starts at the last level."""
-        for level in range(self.bits):
-            on = (symbol >> (self.bits - 1 - level) & 1).astype(bool)
-            ones = self._ones(level, i)
-            i = np.where(on, self.levels[level][2] + ones, i - ones)
-        return i - begin[symbol]
-
     def runs(self) -> np.ndarray:
         """Where each symbol's run starts after the last level."""
         symbols = np.arange(len(self.smaller) - 1)
@@ -170,12 +166,16 @@ class FmIndex:
     def intervals(self, text: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The suffix interval of each pattern text[start : start + size], read from its end to its start."""
         begin = self.runs()
-        low, high = np.zeros(len(starts), np.int64), np.full(len(starts), self.n, np.int64)
-        for k in range(size - 1, -1, -1):
+        at = starts + size - LOOKED_UP
+        places = np.stack([self.low[at], self.high[at]])
+        for k in range(size - LOOKED_UP - 1, -1, -1):
             symbol = text[starts + k]
-            below = self.smaller[symbol]
-            low, high = below + self.rank(symbol, low, begin), below + self.rank(symbol, high, begin)
-        return low, high
+            for level in range(self.bits):
+                ones = self._ones(level, places)
+                on = (symbol >> (self.bits - 1 - level) & 1).astype(bool)
+                places = np.where(on, self.levels[level][2] + ones, places - ones)
+            places += self.smaller[symbol] - begin[symbol]
+        return places[0], places[1]
 
 
 def smallest_in(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -216,7 +216,7 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_batches(batches):
+    for batch in text_batches(batches, 1 << 20):
         found = Segments(batch.column("text").to_pylist())
         if not len(found.seed):
             continue
@@ -274,16 +274,13 @@ def _passing(seeds: np.ndarray, filter_: tuple[int, np.ndarray]) -> np.ndarray:
 def _segment_texts(sent):
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct segments of each batch, with their words and smallest document."""
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, 2 << 20):
             found, docs = Segments(batch.column("text").to_pylist()), _ids(batch)
             at = np.flatnonzero(_passing(found.seed, sent.value))
             at = at[np.lexsort((docs[found.row[at]], found.content[at], found.seed[at]))]
             keys = np.stack([found.seed[at], found.content[at]], axis=1)
             at = at[np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])] if len(at) else at
-            words = [
-                b" ".join(found.words[r][s : s + n + WINDOW - 1])
-                for r, s, n in zip(found.row[at], found.start[at], found.windows[at], strict=True)
-            ]
+            words = [found.split.between(i, i + n + WINDOW - 2) for i, n in zip(found.first[at], found.windows[at], strict=True)]
             columns = [pa.array(x) for x in (found.seed[at], found.content[at], docs[found.row[at]])]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary())], names=["seed", "content", "first_doc", "words"])
 
@@ -317,7 +314,7 @@ def _searched(table: pa.Table) -> pa.Table:
 
 def _instances(sent):
     def instances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, 1 << 20):
             found = Segments(batch.column("text").to_pylist())
             at = np.flatnonzero(_passing(found.seed, sent.value))
             rows = pa.array(found.row[at])
