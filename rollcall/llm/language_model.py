@@ -179,9 +179,9 @@ def _grams(docs: DataFrame, ids: dict[int, int], order: int) -> DataFrame:
                 words = [*words_of(text), END]
                 if len(own) > 400_000:
                     own.clear()
-                for w in words:
-                    if w not in own:
-                        own[w] = sent.value.get(int(signed(_hashes.array([w]))[0]), -1)
+                new = [w for w in words if w not in own]
+                for w, h in zip(new, signed(_hashes.array(new)).tolist(), strict=True):
+                    own[w] = sent.value.get(h, -1)
                 found += [START, *map(own.__getitem__, words), -1]
             x = np.array(found, np.int64)
             keys = []
@@ -217,8 +217,8 @@ def _scoring(sent):
                 own[END] += 1
         entry: dict[bytes, tuple[int, float]] = {}
         seen: dict[bytes, bool] = {}
-        for word in {w for words in split for w in words} | {END}:
-            h = int(signed(_hashes.array([word]))[0])
+        distinct = list({w for words in split for w in words} | {END})
+        for word, h in zip(distinct, signed(_hashes.array(distinct)).tolist(), strict=True):
             c = known.get(h, own[word])
             seen[word] = c > 0
             entry[word] = (model.ids.get(h, -1), base.log(c))
