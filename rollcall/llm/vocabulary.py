@@ -26,6 +26,17 @@ WORD_PLAIN = re.compile("[\\x21-\\x7e¡-±´-¸º-»¿-ÖØ-öø-ÿ–—‘-„
 UNUSUAL_BLANKS = re.compile("[^\\S \\t\\n\\x0b\\x0c\\r]")
 
 
+def _byte_signs() -> dict[int, str]:
+    """The signs that stand for bytes in byte-level vocabularies: printable ones for themselves, the others follow 255
+    in their order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+BYTE_SIGNS = _byte_signs()
+
+
 class Cache(dict):
     """Values computed once per worker; emptied back to its fixed entries when it grows past a bound."""
 
@@ -87,12 +98,17 @@ class WordIds:
         special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.special_ids = {k: np.array([i], "<u4").tobytes() for k, i in special.items()}
-        self.piece = Cache(self.by_library)
+        self.model = self.tokenizer.model
+        self.piece = Cache(self._piece)
         self.word = Cache(self._word, most=250_000)
 
     def by_library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _piece(self, piece: str) -> bytes:
+        """A piece needs no more splitting, so the library's merges alone are asked, without its other steps."""
+        return np.array([t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(BYTE_SIGNS))], "<u4").tobytes()
+
     def _word(self, word: str) -> bytes:
         if WORD_PLAIN.fullmatch(word):
             return b"".join(map(self.piece.__getitem__, WORD_PIECES.findall(word.lower())))
