@@ -115,7 +115,7 @@ def training_sample(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     return [r["lang"] for r in found], windows
 
 
-def fit(langs: list[str], windows: np.ndarray, epochs: int = 4, batch: int = 96, rate: float = 4e-3, seed: int = 7) -> ByteCnn:
+def fit(langs: list[str], windows: np.ndarray, steps: int = 400, batch: int = 96, rate: float = 4e-3, seed: int = 7) -> ByteCnn:
     """Adam on the cross-entropy; the gradient of max pooling reaches only the bytes under each filter's best place."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(langs))
@@ -132,7 +132,7 @@ def fit(langs: list[str], windows: np.ndarray, epochs: int = 4, batch: int = 96,
     parts = [model.embedding, *model.filters, *model.biases, model.dense, model.dense_bias]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parts]
     step, k = 0, len(WIDTHS)
-    for _ in range(epochs):
+    for _ in range(-(-steps * batch // len(windows))):
         order = rng.permutation(len(windows))
         for at in range(0, len(order), batch):
             rows = order[at : at + batch]
