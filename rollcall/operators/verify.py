@@ -90,20 +90,6 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
-def sampled_days(df: DataFrame, day: str, most: int = 30) -> DataFrame:
-    """Rows of every n-th day once there are more than `most` days; all rows otherwise.
-
-    The days come from a distinct list (calendar-sized); the filter is on the partition column.
-    """
-    listed = df.agg(F.array_sort(F.collect_set(day)).alias("days"))
-    step = F.when(F.size("days") > most, F.floor(F.size("days") / most)).otherwise(1)
-    # `most` bounds the sample only where sampling applies.
-    chosen = listed.select(
-        F.slice(F.filter("days", lambda d, i: i % step == 0), 1, most).alias("days")
-    ).scalar()
-    return df.where(F.array_contains(chosen, F.col(day)))
-
-
 @dataclass(frozen=True)
 class TableTests:
     """Declared tests of one table."""

@@ -21,7 +21,6 @@ from rollcall.operators.verify import (
     contract_violations,
     orphan_keys,
     require,
-    sampled_days,
     table_test_results,
 )
 from rollcall.plans import quality, rules, scorecard
@@ -287,15 +286,6 @@ def test_contract_check_equals_sql(estate, duck):
     assert differences(plain(out), duck, ORACLES["q_contract_violations"]) is None
 
 
-@pytest.mark.parametrize("days,kept", [(20, 20), (30, 30), (31, 30), (65, 30), (90, 30)])
-def test_long_histories_are_sampled_by_day(spark, days, kept):
-    df = spark.sql(f"SELECT explode(sequence(date'2024-01-01', date'2024-01-01' + {days - 1})) AS dt")
-    got = sorted(r["dt"].toordinal() for r in sampled_days(df, "dt").collect())
-    step = max(days // 30, 1)
-    first = date(2024, 1, 1).toordinal()
-    assert got == [first + i * step for i in range(kept)]
-
-
 def test_declared_tests_equal_sql(estate, duck):
     got = table_test_results(estate, TABLE_TESTS)
     assert differences(plain(got), duck, ORACLES["q_generic_tests"]) is None
