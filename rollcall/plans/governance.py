@@ -55,7 +55,7 @@ WAIVERS = (
             )
         ),
         "workplace-analytics",
-        "Parts an attendance rate is explained with; none is asked for on its own.",
+        "Day counts by state: reports read them beside a rate, so no metric of its own is kept up.",
     ),
     Waiver(
         (
@@ -64,12 +64,12 @@ WAIVERS = (
             f"{CAPACITY}.departments_present",
         ),
         "platform-engineering",
-        "Diagnostics of the feeds, read by the quality checks.",
+        "Only the checks on late and odd taps use it.",
     ),
     Waiver(
         (f"{CAPACITY}.net_workstation_area_sqm",),
         "space-planning",
-        "A site attribute repeated on the fact, not something measured on the day.",
+        "Comes from the site table and doesn't change with the day.",
     ),
 )
 

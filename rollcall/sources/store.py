@@ -2,7 +2,7 @@
 
 A table that several plans read is written once and read back, which cuts lineage, survives
 lost executors and still prunes columns. The folder comes from `spark.checkpoint.dir`; only a
-local session without that setting gets a folder of its own.
+local session without that setting gets a folder of its own. What a run leaves goes when its JVM ends.
 """
 
 from __future__ import annotations
@@ -13,14 +13,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The folder of each local session that has no setting.
+_OWN: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rollcall-"))
-    return spark.sparkContext.getCheckpointDir()
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="rollcall-")
+    return _OWN[context.applicationId]
 
 
 class TableStore:
@@ -29,6 +35,10 @@ class TableStore:
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self._spark = spark
         self.root = f"{folder or shared_folder(spark)}/rollcall/{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
 
     def put(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = f"{self.root}/{name}"
