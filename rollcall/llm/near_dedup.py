@@ -31,7 +31,8 @@ from rollcall.llm.shared import (
 
 WORDS = 5
 COMPONENTS = 224
-ROWS_PER_BAND = 7
+#: A band gets the most rows with which a pair at exactly the similarity asked for is missed by all bands less often.
+MISSED = 2e-5
 #: Elements whose permutations are held at once; longer sets are signed in pieces.
 ELEMENTS_AT_ONCE = 20_000
 #: Members of a bucket that are compared in one task; larger buckets are compared by pairs of such blocks.
@@ -40,6 +41,11 @@ BLOCK = 512
 _hashes = WordHashes()
 
 
+def rows_per_band(share: float, m: int = COMPONENTS) -> int:
+    """Components of a band: 7 for a similarity of 0.85, 6 for 0.8."""
+    return max((r for r in range(1, m + 1) if (1 - share**r) ** (m // r) < MISSED), default=1)
+
+
 def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the word shingles; a shorter text is one shingle."""
     words = words_of(text)
@@ -95,24 +101,28 @@ def signatures(sets: list[np.ndarray], m: int = COMPONENTS) -> np.ndarray:
     return out
 
 
-def _signed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_batches(batches):
-        sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
-        found = signatures(sets)
-        bits = mixed(np.nan_to_num(found, posinf=0.0).view(np.uint64))
-        n_bands = COMPONENTS // ROWS_PER_BAND
-        bands = np.tile(np.arange(n_bands, dtype=np.uint64), (len(sets), 1))
-        for i in range(ROWS_PER_BAND):
-            bands = mixed(bands * GOLDEN + bits[:, i::ROWS_PER_BAND])
-        sketch = (bits & np.uint64(0xFF)).astype(np.uint8)
-        yield with_columns(
-            batch,
-            ["doc_id"],
-            n_shingles=([len(x) for x in sets], pa.int64()),
-            digest=([blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets], pa.binary()),
-            bands=([signed(x) if len(s) else None for x, s in zip(bands, sets, strict=True)], pa.list_(pa.int64())),
-            sketch=([x.tobytes() if len(s) else None for x, s in zip(sketch, sets, strict=True)], pa.binary()),
-        )
+def _signed_batches(rows: int):
+    n_bands = COMPONENTS // rows
+
+    def signed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches):
+            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            found = signatures(sets)
+            bits = mixed(np.nan_to_num(found, posinf=0.0).view(np.uint64))
+            bands = np.tile(np.arange(n_bands, dtype=np.uint64), (len(sets), 1))
+            for i in range(rows):
+                bands = mixed(bands * GOLDEN + bits[:, i : n_bands * rows : rows])
+            sketch = (bits & np.uint64(0xFF)).astype(np.uint8)
+            yield with_columns(
+                batch,
+                ["doc_id"],
+                n_shingles=([len(x) for x in sets], pa.int64()),
+                digest=([blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets], pa.binary()),
+                bands=([signed(x) if len(s) else None for x, s in zip(bands, sets, strict=True)], pa.list_(pa.int64())),
+                sketch=([x.tobytes() if len(s) else None for x, s in zip(sketch, sets, strict=True)], pa.binary()),
+            )
+
+    return signed_batches
 
 
 def _verified(min_percent: int):
@@ -179,7 +189,7 @@ def connected(scratch: Scratch, edges: DataFrame) -> DataFrame:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
-def near_duplicates(docs: DataFrame, min_percent: int = 85) -> DataFrame:
+def near_duplicates(docs: DataFrame, min_percent: int = 80) -> DataFrame:
     """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
     Documents with equal sets form a class by a 128-bit digest; only its smallest id goes on. Classes that share a
@@ -193,7 +203,7 @@ def near_duplicates(docs: DataFrame, min_percent: int = 85) -> DataFrame:
     share = min_percent / 100
     least = share - 4 * (share * (1 - share) / COMPONENTS) ** 0.5
     schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
-    signs = scratch.put(docs.mapInArrow(_signed_batches, schema), "signatures")
+    signs = scratch.put(docs.mapInArrow(_signed_batches(rows_per_band(share)), schema), "signatures")
     classes = signs.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
     classes = scratch.put(classes, "classes")
     chosen = classes.where("node is not null").withColumnRenamed("node", "doc_id")

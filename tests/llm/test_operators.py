@@ -87,7 +87,8 @@ def test_cuckoo_filter_forgets_what_is_removed():
     assert not held.table.any()
 
 
-def test_near_duplicates(docs, rows, empty):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates(docs, rows, empty, percent):
     def shingles(t):
         w = (t or "").encode().lower().split()
         return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
@@ -98,14 +99,18 @@ def test_near_duplicates(docs, rows, empty):
         for i in sets:
             for j in sets:
                 common = len(sets[i] & sets[j])
-                if common and 100 * common >= 85 * len(sets[i] | sets[j]):
+                if common and 100 * common >= percent * len(sets[i] | sets[j]):
                     reach[i] = reach[j] = min(reach[i], reach[j])
-    got = near_dedup.near_duplicates(docs).collect()
+    got = near_dedup.near_duplicates(docs, percent).collect()
     assert len(got) == len(rows)
     for r in got:
         assert r.component_id == (reach[r.doc_id] if r.doc_id is not None else reach[4])
         assert r.kept == (r.doc_id == r.component_id)
-    assert near_dedup.near_duplicates(empty).count() == 0
+    assert near_dedup.near_duplicates(empty, percent).count() == 0
+
+
+def test_bands_follow_the_similarity():
+    assert [near_dedup.rows_per_band(x) for x in (0.8, 0.85)] == [6, 7]
 
 
 def test_super_minhash_estimates_similarity():
