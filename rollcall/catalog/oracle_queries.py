@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from rollcall.catalog.oracle import metric_sql, metric_statement, statement
 from rollcall.catalog.queries import RETAIL_TESTS
 from rollcall.plans.declared import TABLE_TESTS
@@ -210,13 +212,16 @@ select 'attendance_within_population' as rule, (select count(*) from attendance
        or headcount_incumbent > employee_days or scheduled_attendance > attendance_daily)
     as violations
 union all select 'employee_day_state_is_consistent', (select count(*) from emp_day
-    where state_rule_id is null or (state_rule_id = 3 and not is_on_leave)
+    where state_rule_id is null or employee_day_state is null
+       or (state_rule_id = 3 and not is_on_leave) or (state_rule_id = 5 and not is_on_assignment)
        or (state_rule_id = 4 and not is_on_travel) or (state_rule_id = 7 and not attended_flag)
        or (state_rule_id = 8 and (attended_flag or not is_scheduled_office_day))
        or (state_rule_id = 1 and employment_status_effective <> 'terminated'))
 union all select 'supply_identity_holds', (select count(*) from capacity
     where delivered_workstations - allocated_workstations <> unallocated_workstations
        or available_workstations - attendance_actual <> workstation_waste
+       or available_workstations - allocated_workstations
+          <> case region when 'CN' then 0 else free_sharing_workstations end
        or allocated_workstations > delivered_workstations)
 union all select 'workplace_attributes_agree', (select count(*) from (
     select workplace_code from space group by workplace_code
@@ -235,6 +240,51 @@ union all select 'supply_identity', (select count(*) from capacity
        or allocated_workstations + unallocated_workstations <> delivered_workstations)
 """
 
+
+
+def _planted(sql: str) -> str:
+    """The same statement over the tables with planted faults."""
+    return re.sub(r"\b(from) (attendance|emp_day|capacity|space|repeats_)\b", _bad_name, sql)
+
+
+def _bad_name(found: re.Match) -> str:
+    return f"{found[1]} {found[2].rstrip('_')}_bad"
+
+
+_CONTRACT_LANDED = """
+select * from (
+    select 'leave_requests' as feed, c as "column", r as rule, (select coalesce(sum(w) filter (case r
+             when 'not_null' then c = 'emp_id' and k % 89 = 3
+             when 'domain' then c = 'leave_type' and k % 41 = 1
+             when 'type' then c = 'start_date' and k % 97 = 5 end), 0)
+        from (select cast(substr(leave_id, 2) as bigint) as k,
+                     case when k % 106 = 2 then 3 when k % 53 = 2 then 2 else 1 end as w
+              from raw_leave)) as violations
+    from (values ('leave_id', 'type'), ('leave_id', 'not_null'), ('emp_id', 'type'),
+          ('emp_id', 'not_null'), ('leave_type', 'type'), ('leave_type', 'not_null'),
+          ('leave_type', 'domain'), ('start_date', 'type'), ('start_date', 'not_null'),
+          ('end_date', 'type'), ('end_date', 'not_null'), ('applied_ts', 'type'),
+          ('applied_ts', 'not_null')) as v(c, r)
+    union all select 'leave_requests', 'status', 'missing', 1
+    union all select 'leave_requests', 'note', 'unexpected', 1
+    union all select 'leave_requests', 'leave_id', 'unique',
+        (select count(*) from raw_leave where cast(substr(leave_id, 2) as bigint) % 53 = 2)
+    union all select 'workplace_dim', 'timezone', 'missing', 1
+    union all select 'workplace_dim', 'floor', 'range',
+        (select count(*) from raw_space where floor = 1)
+    union all select 'workplace_dim', c, r, 0
+    from (values ('workplace_code'), ('name'), ('city'), ('country'), ('region'), ('tower'), ('floor'),
+          ('delivered_workstations'), ('allocated_workstations'), ('free_sharing_workstations'),
+          ('net_workstation_area_sqm'), ('cost_per_workstation_month'), ('lease_expiry_date'),
+          ('is_space_audited')) as v(c), (values ('type'), ('not_null')) as w(r)
+    union all select 'workplace_dim', c, r, 0
+    from (values ('region', 'domain'), ('delivered_workstations', 'range'),
+          ('allocated_workstations', 'range'), ('free_sharing_workstations', 'range'),
+          ('net_workstation_area_sqm', 'range'), ('cost_per_workstation_month', 'range'),
+          ('workplace_code+tower+floor', 'unique')) as v(c, r)
+)
+"""
+
 _RECALL = """
 select defect, injected, detected_by, detected, detected > 0 as caught,
        detected = injected as exact
@@ -311,8 +361,12 @@ union all select 'dept_schedule', count(*), 0 from raw_schedule
 
 _LANDED = """
 select 'hr_employee_snapshot' as feed, count(*) as "rows",
-       count(distinct snapshot_date) as partitions from raw_hr
-union all select 'badge_taps', count(*), count(distinct tap_ts_utc::date) from raw_taps
+       count(distinct snapshot_date) as partitions, partitions as partitions_validated from raw_hr
+union all select 'badge_taps', count(*), count(distinct tap_ts_utc::date) as p, p from raw_taps
+union all select 'leave_requests', count(*), 1, 1 from raw_leave
+union all select 'travel_bookings', count(*), 1, 1 from raw_travel
+union all select 'workplace_dim', count(*), 1, 1 from raw_space
+union all select 'dept_schedule', count(*), 1, 1 from raw_schedule
 """
 
 _DATES = """
@@ -467,6 +521,14 @@ ORACLES: dict[str, str] = {
     "q_metric_headlines": statement("metric grain value:f", _headlines()),
     "q_rule_violations": statement("rule violations:i", _RULES),
     "q_gates": statement("gate violations:i", _GATES),
+    "q_rules_planted": statement("rule violations:i", _planted(_RULES)),
+    "q_gates_planted": statement("gate violations:i", _planted(_GATES)),
+    "q_dq_grain_planted": statement(
+        _RESULT,
+        "select 'grain_' || model as name, 'grain_uniqueness' as category, "
+        "if(n = 0, 'pass', 'fail') as status, n as value, 0 as threshold from repeats_bad",
+    ),
+    "q_contract_landed": statement('feed "column" rule violations:i', _CONTRACT_LANDED),
     "q_contract_violations": statement('feed "column" rule violations:i', _contract_rows()),
     "q_contract_orders": statement('feed "column" rule violations:i', _ORDERS_CONTRACT),
     "q_generic_tests": statement(
@@ -513,5 +575,7 @@ ORACLES: dict[str, str] = {
         'model "column" "rows":i non_null:i lowest:f highest:f claims:i cover', _audit()
     ),
     "q_partitioned_roundtrip": statement('feed "rows":i days:i', _ROUNDTRIP),
-    "q_landed_days": statement('feed "rows":i partitions:i', _LANDED),
+    "q_landed_days": statement(
+        'feed "rows":i partitions:i partitions_validated:i', _LANDED
+    ),
 }

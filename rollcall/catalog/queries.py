@@ -15,7 +15,7 @@ from rollcall.plans.estate import SHARED, Estate
 from rollcall.plans.metrics import ATTENDANCE, CAPACITY, METRICS, MetricLayer
 from rollcall.sources.adapter import RetailAdapter, table
 from rollcall.sources.contracts import CONTRACTS, Contract, Field
-from rollcall.sources.feeds import load_report, read_feeds, write_feed
+from rollcall.sources.feeds import landed_violations, load_report, read_feeds, write_feed
 from rollcall.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,6 +140,50 @@ def contract_feeds(spark, sf):
     return out
 
 
+def _faulty(spark, sf) -> Estate:
+    """Built tables with faults planted by the day of the month and the floor."""
+    e = estate(spark, sf).settle("int_employee_day", ATTENDANCE, CAPACITY)
+    day = F.dayofmonth("local_date")
+
+    def repeated(df: DataFrame, times) -> DataFrame:
+        return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times))).drop("_copy")
+
+    def moved(df: DataFrame, column: str, when, value) -> DataFrame:
+        return df.withColumn(column, F.when(when, value).otherwise(F.col(column)))
+
+    days = moved(e["int_employee_day"], "employee_day_state", day == 4, F.lit(None))
+    days = moved(days, "employee_day_state", day == 5, F.lit("on_assignment"))
+    days = moved(days, "state_rule_id", day == 5, F.lit(5))
+    days = repeated(days, F.when(day == 11, 3).when(day == 12, 2).otherwise(1))
+    seen = moved(e[ATTENDANCE], "attendance_daily", day == 3, F.col("employee_days") + 1)
+    owed = F.col("attendance_expected_days") + 2
+    seen = repeated(moved(seen, "attendance_expected_met", day == 7, owed), F.when(day == 9, 2).otherwise(1))
+    desks = moved(e[CAPACITY], "unallocated_workstations", day == 6, F.col("unallocated_workstations") + 1)
+    desks = moved(desks, "available_workstations", day == 8, F.col("available_workstations") + 5)
+    desks = moved(desks, "workstation_waste", day == 8, F.col("workstation_waste") + 5)
+    space = moved(e["stg_workplace_space"], "city", F.col("floor") == 1, F.lit("ELSEWHERE"))
+    tables = {
+        "int_employee_day": days,
+        ATTENDANCE: seen,
+        CAPACITY: desks,
+        "stg_workplace_space": space,
+        "fct_floor_presence_hourly": e["fct_floor_presence_hourly"],
+    }
+    return Estate(spark, tables, e.settings)
+
+
+def rules_planted(spark, sf):
+    return rules.violation_counts(_faulty(spark, sf))
+
+
+def gates_planted(spark, sf):
+    return rules.gate_counts(_faulty(spark, sf))
+
+
+def grain_planted(spark, sf):
+    return quality.run_checks(_faulty(spark, sf), ("grain",)).select(*RESULT)
+
+
 # A contract the orders table does not keep, to see every kind of rule count something.
 STRICT_ORDERS = Contract(
     "orders",
@@ -317,9 +361,30 @@ def partitioned_roundtrip(spark, sf):
 
 
 def landed_days(spark, sf):
-    """Load report of the day feeds: rows and day partitions from the files themselves."""
-    days = tuple(n for n in CONTRACTS if CONTRACTS[n].day)
-    return load_report(spark, _landed(spark, sf), days)
+    """Load report of all feeds: rows and partitions from the files themselves."""
+    return load_report(spark, _landed(spark, sf))
+
+
+def contract_landed(spark, sf):
+    """Contracts over landed files with planted faults: two feeds with columns lost, added and retyped."""
+    feeds, root = RetailAdapter(spark, sf), TableStore(spark).root
+    k = F.substring("leave_id", 2, 20).cast("bigint")
+    times = F.when(k % 106 == 2, 3).when(k % 53 == 2, 2).otherwise(1)
+    leave = feeds["leave_requests"].select(
+        "leave_id",
+        F.when(k % 89 != 3, F.col("emp_id")).alias("emp_id"),
+        F.when(k % 41 == 1, "holiday").otherwise(F.col("leave_type")).alias("leave_type"),
+        F.when(k % 97 == 5, "soon").otherwise(F.col("start_date").cast("string")).alias("start_date"),
+        "end_date",
+        "applied_ts",
+        F.lit("x").alias("note"),
+        F.explode(F.array_repeat(F.lit(1), times)).alias("copy"),
+    )
+    leave.drop("copy").write.parquet(f"{root}/leave_requests")
+    space = feeds["workplace_dim"].drop("timezone")
+    space = space.withColumn("floor", F.when(F.col("floor") == 1, 0).otherwise(F.col("floor")))
+    space.write.parquet(f"{root}/workplace_dim")
+    return landed_violations(spark, root, ("leave_requests", "workplace_dim"))
 
 
 MODELS: dict[str, Query] = {
@@ -364,6 +429,10 @@ MODELS: dict[str, Query] = {
     "q_metric_headlines": metric_headlines,
     "q_rule_violations": rule_violations,
     "q_gates": gates,
+    "q_rules_planted": rules_planted,
+    "q_gates_planted": gates_planted,
+    "q_dq_grain_planted": grain_planted,
+    "q_contract_landed": contract_landed,
     "q_contract_violations": contract_feeds,
     "q_contract_orders": contract_orders,
     "q_generic_tests": generic_tests,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.operators.verify import contract_violations, require
 from rollcall.sources.contracts import CONTRACTS
 
 
@@ -31,6 +32,32 @@ def read_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {feed: read_feed(spark, root, feed) for feed in CONTRACTS}
 
 
+def scan_feed(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """The files of a feed as they landed: their own columns and types, merged across files."""
+    landed = spark.read.option("mergeSchema", True).parquet(f"{root}/{feed}")
+    return landed.drop("dt") if CONTRACTS[feed].day else landed
+
+
+def landed_violations(spark: SparkSession, root: str, feeds=tuple(CONTRACTS)) -> DataFrame:
+    """Contract counts of landed files, before any schema is imposed; every partition is read."""
+    parts = [contract_violations(scan_feed(spark, root, feed), CONTRACTS[feed]) for feed in feeds]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def load_feeds(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All feeds under their declared types; raises `ContractBroken` if the files break a rule."""
+    require(landed_violations(spark, root))
+    return {
+        feed: scan_feed(spark, root, feed).select(
+            *(F.col(f.name).cast(f.type).alias(f.name) for f in contract.fields)
+        )
+        for feed, contract in CONTRACTS.items()
+    }
+
+
 def write_feed(df: DataFrame, root: str, feed: str, replace_days_only: bool = False) -> None:
     """Full refresh of one feed, or (for day feeds) a refresh of just the days present in `df`.
 
@@ -58,7 +85,10 @@ def _landing_day(column: str) -> Column:
 
 
 def load_report(spark: SparkSession, root: str, feeds=tuple(CONTRACTS)) -> DataFrame:
-    """Rows and file partitions per feed, from one count per file."""
+    """Rows and partitions per feed, from one count per file; a feed without days is one partition.
+
+    The contract reads every partition, so each is also a validated one.
+    """
     parts = []
     for feed in feeds:
         per_file = (
@@ -67,13 +97,17 @@ def load_report(spark: SparkSession, root: str, feeds=tuple(CONTRACTS)) -> DataF
             .groupBy(F.col("_metadata.file_path").alias("file"))
             .agg(F.count(F.lit(1)).alias("n"))
         )
-        folder = F.regexp_extract("file", r"(dt=[^/]+)/[^/]*$", 1)
-        unit = folder if CONTRACTS[feed].day else F.col("file")
+        folder = F.regexp_extract("file", r"([^/]+)/[^/]*$", 1)
         parts.append(
             per_file.agg(
                 F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.countDistinct(unit).alias("partitions"),
-            ).select(F.lit(feed).alias("feed"), "rows", "partitions")
+                F.countDistinct(folder).alias("partitions"),
+            ).select(
+                F.lit(feed).alias("feed"),
+                "rows",
+                "partitions",
+                F.col("partitions").alias("partitions_validated"),
+            )
         )
     out = parts[0]
     for part in parts[1:]:
