@@ -7,8 +7,17 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.operators.verify import ContractBroken
+from rollcall.plans.build import build
 from rollcall.sources.contracts import CONTRACTS
-from rollcall.sources.feeds import load_report, read_feed, read_manifest, write_feed
+from rollcall.sources.feeds import (
+    landed_violations,
+    load_feeds,
+    load_report,
+    read_feed,
+    read_manifest,
+    write_feed,
+)
 from rollcall.sources.store import TableStore, shared_folder
 
 
@@ -75,6 +84,25 @@ def test_the_load_report_counts_rows_and_partitions(spark, estate, landed):
     assert report["hr_employee_snapshot"]["partitions"] == hr.select("snapshot_date").distinct().count()
     assert report["leave_requests"]["rows"] == estate["leave_requests"].count()
     assert set(report) == set(CONTRACTS)
+    assert all(r["partitions_validated"] == r["partitions"] for r in report.values())
+
+
+def test_sound_files_pass_the_contracts_and_build(spark, estate, landed):
+    assert landed_violations(spark, landed).where("violations > 0").isEmpty()
+    built = build(spark, landed)
+    assert built["int_employee_day"].count() == estate["int_employee_day"].count()
+
+
+def test_broken_files_stop_the_load(spark, estate, tmp_path):
+    root = str(tmp_path)
+    for feed in CONTRACTS:
+        write_feed(estate[feed].limit(50), root, feed)
+    leave = estate["leave_requests"].drop("status").withColumn("note", F.lit("x"))
+    leave.withColumn("start_date", F.lit("soon")).write.mode("overwrite").parquet(f"{root}/leave_requests")
+    with pytest.raises(ContractBroken) as stop:
+        load_feeds(spark, root)
+    for said in ("status missing: 1", "note unexpected: 1", "start_date type:"):
+        assert said in str(stop.value)
 
 
 def test_small_days_land_in_one_file(spark, landed):
