@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 from rollcall.llm.shared import (
     GOLDEN,
     Scratch,
-    WordHashes,
+    SplitTexts,
+    ascii_lower,
     mixed,
     only,
+    probably_among,
     runs_hashed,
     signed,
     text_batches,
     with_columns,
-    words_of,
 )
 
 WORDS = 5
@@ -37,22 +38,23 @@ MISSED = 2e-5
 ELEMENTS_AT_ONCE = 20_000
 #: Members of a bucket that are compared in one task; larger buckets are compared by pairs of such blocks.
 BLOCK = 512
-
-_hashes = WordHashes()
-
+LOW = np.uint64(2**32 - 1)
 
 def rows_per_band(share: float, m: int = COMPONENTS) -> int:
     """Components of a band: 7 for a similarity of 0.85, 6 for 0.8."""
     return max((r for r in range(1, m + 1) if (1 - share**r) ** (m // r) < MISSED), default=1)
 
 
-def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the word shingles; a shorter text is one shingle."""
-    words = words_of(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = _hashes.array(words)
-    return np.unique(runs_hashed(hashes, min(size, len(words))))
+def shingle_sets(texts: list[str | None], size: int = WORDS) -> list[np.ndarray]:
+    """Sorted distinct hashes of the word shingles of each text; a text of fewer words is one shingle."""
+    split = SplitTexts([ascii_lower(t) if t else b"" for t in texts])
+    runs = runs_hashed(split.hash, size)
+    first = np.searchsorted(split.row, np.arange(len(texts) + 1))
+    sets = []
+    for at, end in zip(first, first[1:], strict=False):
+        found = runs[at : end - size + 1] if end - at >= size else runs_hashed(split.hash[at:end], max(1, end - at))
+        sets.append(np.unique(found))
+    return sets
 
 
 def super_minhash(elements: np.ndarray, owner: np.ndarray, owners: int, m: int = COMPONENTS) -> np.ndarray:
@@ -60,24 +62,28 @@ def super_minhash(elements: np.ndarray, owner: np.ndarray, owners: int, m: int =
     components and offers j + r there. After step j a set is done once all its values lie below j + 1, since every
     later offer is larger; its elements then leave. All sets advance by one step at a time."""
     values = np.full(owners * m, np.inf)
-    permutation = np.tile(np.arange(m, dtype=np.uint8), (len(elements), 1))
+    permutation = np.tile(np.arange(m, dtype=np.uint8), len(elements))
     active = np.arange(len(elements))
+    left, begin, at = elements, active * m, owner * m
     for j in range(m):
-        seed = mixed(elements[active] + np.uint64((2 * j + 1) * int(GOLDEN) % 2**64))
-        r = (seed >> np.uint64(11)).astype(np.float64) * 2.0**-53
-        k = j + (mixed(seed ^ GOLDEN) % np.uint64(m - j)).astype(np.int64)
-        taken = permutation[active, k]
-        permutation[active, k] = permutation[active, j]
-        np.minimum.at(values, owner[active] * m + taken, r + j)
+        seed = mixed(left + np.uint64((2 * j + 1) * int(GOLDEN) % 2**64))
+        r = (seed >> np.uint64(32)).astype(np.float64) * 2.0**-32
+        k = begin + j + (((seed & LOW) * np.uint64(m - j)) >> np.uint64(32)).astype(np.int64)
+        taken = permutation.take(k)
+        permutation[k] = permutation.take(begin + j)
+        np.minimum.at(values, at + taken, r + j)
         done = values.reshape(owners, m).max(axis=1) < j + 1
-        active = active[~done[owner[active]]]
-        if not len(active):
-            break
+        if done.any():
+            active = active[~done[owner[active]]]
+            if not len(active):
+                break
+            left, begin, at = elements[active], active * m, owner[active] * m
     return values.reshape(owners, m)
 
 
 def signatures(sets: list[np.ndarray], m: int = COMPONENTS) -> np.ndarray:
-    """Signatures of many sets in bounded memory; empty sets stay infinite."""
+    """Signatures of many sets in bounded memory, sets of like sizes together, as they take about as many steps; empty
+    sets stay infinite."""
     out = np.full((len(sets), m), np.inf)
     held: list[tuple[int, np.ndarray]] = []
     size = 0
@@ -89,7 +95,8 @@ def signatures(sets: list[np.ndarray], m: int = COMPONENTS) -> np.ndarray:
             for (i, _), row in zip(held, super_minhash(elements, owner, len(held), m), strict=True):
                 np.minimum(out[i], row, out=out[i])
 
-    for i, whole in enumerate(sets):
+    for i in sorted(range(len(sets)), key=lambda i: len(sets[i])):
+        whole = sets[i]
         for at in range(0, len(whole), ELEMENTS_AT_ONCE):
             piece = whole[at : at + ELEMENTS_AT_ONCE]
             if size + len(piece) > ELEMENTS_AT_ONCE:
@@ -106,7 +113,7 @@ def _signed_batches(rows: int):
 
     def signed_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
-            sets = [shingle_set(t) for t in batch.column("text").to_pylist()]
+            sets = shingle_sets(batch.column("text").to_pylist())
             found = signatures(sets)
             bits = mixed(np.nan_to_num(found, posinf=0.0).view(np.uint64))
             bands = np.tile(np.arange(n_bands, dtype=np.uint64), (len(sets), 1))
@@ -132,8 +139,8 @@ def _verified(min_percent: int):
             keep, last, left = [], None, None
             for a, one, other in zip(pdf["a"], pdf["text_a"], pdf["text_b"], strict=True):
                 if a != last:
-                    last, left = a, shingle_set(one)
-                right = shingle_set(other)
+                    last, left = a, shingle_sets([one])[0]
+                right = shingle_sets([other])[0]
                 common = len(np.intersect1d(left, right, assume_unique=True))
                 union = len(left) + len(right) - common
                 keep.append(union > 0 and 100 * common >= min_percent * union)
@@ -204,23 +211,26 @@ def near_duplicates(docs: DataFrame, min_percent: int = 80) -> DataFrame:
     least = share - 4 * (share * (1 - share) / COMPONENTS) ** 0.5
     schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
     signs = scratch.put(docs.mapInArrow(_signed_batches(rows_per_band(share)), schema), "signatures")
-    classes = signs.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"))
+    classes = signs.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
     classes = scratch.put(classes, "classes")
-    chosen = classes.where("node is not null").withColumnRenamed("node", "doc_id")
-    nodes = scratch.put(
-        signs.join(chosen, ["digest", "doc_id"]).select(
-            F.col("doc_id").alias("node"), "n_shingles", "bands", "sketch"
-        ),
-        "nodes",
-    )
+    repeated = classes.where("rows > 1 and node is not null").select("digest", F.col("node").alias("doc_id"))
+    maybe = probably_among(repeated, "digest")("digest")
+    sketched = ("n_shingles", "bands", "sketch")
+    alone = signs.where("digest is not null and doc_id is not null").where(~maybe)
+    several = signs.where("digest is not null").where(maybe)
+    chosen = classes.where("node is not null").where(maybe).select("digest", F.col("node").alias("doc_id"))
+    nodes = alone.select("doc_id", *sketched).union(several.join(chosen, ["digest", "doc_id"]).select("doc_id", *sketched))
+    nodes = scratch.put(nodes.withColumnRenamed("doc_id", "node"), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = shared.where("low != high").select("bucket")
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    shared = scratch.put(shared, "shared")
+    entries = entries.where(probably_among(shared, "bucket")("bucket"))
     entries = scratch.put(entries.join(shared, "bucket").distinct(), "entries")
-    members = entries.select("node").distinct()
-    sketches = nodes.join(members.hint("merge"), "node", "left_semi").select("node", "n_shingles", "bands", "sketch")
+    members = scratch.put(entries.select("node").distinct(), "members")
+    member = probably_among(members, "node")
+    sketches = nodes.where(member("node")).join(members.hint("merge"), "node", "left_semi").select("node", *sketched)
     sketches = scratch.put(sketches.dropDuplicates(["node"]), "sketches")
-    texts = docs.join(members.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
+    texts = docs.where(member("doc_id")).join(members.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
     texts = scratch.put(texts.dropDuplicates(["doc_id"]), "texts")
     degree = entries.join(entries.groupBy("bucket").count(), "bucket").groupBy("node").agg(F.sum("count").alias("degree"))
     entries = scratch.put(entries.join(degree, "node"), "degrees")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -15,6 +17,9 @@ from pyspark.sql import functions as F
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Bits of a Bloom filter: 16 for each value, up to a bound of 32 MB.
+BITS_PER_VALUE, MOST_BITS = 16, 1 << 28
+PAGE_BITS = 1 << 19
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -180,3 +185,57 @@ def only(docs: DataFrame, *columns: str) -> DataFrame:
 def kind_of(docs: DataFrame, *columns: str) -> str:
     """The named columns of a frame as a DDL schema."""
     return ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+
+
+def _places(values: np.ndarray, bits: int) -> list[np.ndarray]:
+    one, step = values.view(np.uint64), mixed(values.view(np.uint64) ^ GOLDEN) | np.uint64(1)
+    return [((one + np.uint64(k) * step) & np.uint64(bits - 1)).astype(np.int64) for k in range(5)]
+
+
+def bloom_filter(values: DataFrame, count: int) -> tuple[int, np.ndarray]:
+    """A Bloom filter of about `count` hashes, the only column: tasks set bits in pages, pages are joined, and the
+    whole has at most MOST_BITS."""
+    bits = 1 << min(MOST_BITS.bit_length() - 1, max(PAGE_BITS.bit_length() - 1, math.ceil(math.log2(max(1, BITS_PER_VALUE * count)))))
+
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(bits, bool)
+        for batch in batches:
+            for at in _places(batch.column(0).to_numpy(), bits):
+                held[at] = True
+        rows = np.packbits(held).reshape(-1, PAGE_BITS // 8)
+        used = np.flatnonzero(rows.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([rows[i].tobytes() for i in used], pa.binary())], names=["page", "bits"])
+
+    def joined(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(PAGE_BITS // 8, np.uint8)
+        for batch in batches:
+            for raw in batch.column("bits").to_pylist():
+                total |= np.frombuffer(raw, np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([total.tobytes()], pa.binary())], names=["page", "bits"])
+
+    schema = "page long, bits binary"
+    out = np.zeros((bits // PAGE_BITS, PAGE_BITS // 8), np.uint8)
+    for r in values.mapInArrow(pages, schema).groupBy("page").applyInArrow(joined, schema).collect():
+        out[r["page"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return bits, out.ravel()
+
+
+def passing(values: np.ndarray, filter_: tuple[int, np.ndarray]) -> np.ndarray:
+    bits, held = filter_
+    out = np.ones(len(values), bool)
+    for at in _places(values, bits):
+        out &= (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    return out
+
+
+def probably_among(keys: DataFrame, name: str) -> Callable[[str], Column]:
+    """A condition on a column, true for every value in column `name` of `keys` and by chance for few others. It spares
+    rows a shuffle before an exact join; beyond what the bounded filter can tell apart, it lets all pass."""
+    values = keys.select(F.xxhash64(name).alias("value"))
+    sent = keys.sparkSession.sparkContext.broadcast(bloom_filter(values, keys.count()))
+
+    @F.pandas_udf("boolean")
+    def among(value: pd.Series) -> pd.Series:
+        return pd.Series(passing(value.to_numpy(np.int64), sent.value))
+
+    return lambda column: among(F.xxhash64(column))

@@ -34,9 +34,11 @@ from rollcall.llm.shared import (
     GOLDEN,
     Scratch,
     SplitTexts,
+    bloom_filter,
     kind_of,
     mixed,
     only,
+    passing,
     signed,
     text_batches,
     with_columns,
@@ -44,9 +46,6 @@ from rollcall.llm.shared import (
 
 WINDOW = 13
 SEED_WORDS = 3
-#: Bits of the filter of seeds: 16 for each, up to a bound.
-BITS_PER_SEED, MOST_BITS = 16, 1 << 28
-PAGE_BITS = 1 << 19
 #: Segments that a shard's index is built from, and distinct segments of one seed beyond which windows are dealt alone.
 SHARD_SEGMENTS = 20_000
 SEED_SEGMENTS = 5_000
@@ -231,52 +230,12 @@ def _seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _places(seeds: np.ndarray, bits: int) -> list[np.ndarray]:
-    one, step = seeds.view(np.uint64), mixed(seeds.view(np.uint64) ^ GOLDEN) | np.uint64(1)
-    return [((one + np.uint64(k) * step) & np.uint64(bits - 1)).astype(np.int64) for k in range(5)]
-
-
-def seed_filter(seeds: DataFrame, count: int) -> tuple[int, np.ndarray]:
-    """A Bloom filter of (seed): tasks set bits in pages, pages are joined, and the whole has at most MOST_BITS."""
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(PAGE_BITS.bit_length() - 1, math.ceil(math.log2(max(1, BITS_PER_SEED * count)))))
-
-    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(bits, bool)
-        for batch in batches:
-            for at in _places(batch.column("seed").to_numpy(), bits):
-                held[at] = True
-        rows = np.packbits(held).reshape(-1, PAGE_BITS // 8)
-        used = np.flatnonzero(rows.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array([rows[i].tobytes() for i in used], pa.binary())], names=["page", "bits"])
-
-    def joined(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(PAGE_BITS // 8, np.uint8)
-        for batch in batches:
-            for raw in batch.column("bits").to_pylist():
-                total |= np.frombuffer(raw, np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([total.tobytes()], pa.binary())], names=["page", "bits"])
-
-    schema = "page long, bits binary"
-    out = np.zeros((bits // PAGE_BITS, PAGE_BITS // 8), np.uint8)
-    for r in seeds.select("seed").mapInArrow(pages, schema).groupBy("page").applyInArrow(joined, schema).collect():
-        out[r["page"]] = np.frombuffer(bytes(r["bits"]), np.uint8)
-    return bits, out.ravel()
-
-
-def _passing(seeds: np.ndarray, filter_: tuple[int, np.ndarray]) -> np.ndarray:
-    bits, held = filter_
-    out = np.ones(len(seeds), bool)
-    for at in _places(seeds, bits):
-        out &= (held[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-    return out
-
-
 def _segment_texts(sent):
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct segments of each batch, with their words and smallest document."""
         for batch in text_batches(batches, 2 << 20):
             found, docs = Segments(batch.column("text").to_pylist()), _ids(batch)
-            at = np.flatnonzero(_passing(found.seed, sent.value))
+            at = np.flatnonzero(passing(found.seed, sent.value))
             at = at[np.lexsort((docs[found.row[at]], found.content[at], found.seed[at]))]
             keys = np.stack([found.seed[at], found.content[at]], axis=1)
             at = at[np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])] if len(at) else at
@@ -316,7 +275,7 @@ def _instances(sent):
     def instances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches, 1 << 20):
             found = Segments(batch.column("text").to_pylist())
-            at = np.flatnonzero(_passing(found.seed, sent.value))
+            at = np.flatnonzero(passing(found.seed, sent.value))
             rows = pa.array(found.row[at])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(rows), batch.column("mark").take(rows)]
@@ -368,7 +327,7 @@ def repeated_windows(docs: DataFrame, scratch: Scratch) -> DataFrame:
     seeds = scratch.put(seeds.where("first_doc != last_doc"), "seeds")
     varied, alike = seeds.where("content != other"), seeds.where("content = other")
     n_varied, n_all = varied.count(), seeds.count()
-    sent = spark.sparkContext.broadcast(seed_filter(varied, n_varied))
+    sent = spark.sparkContext.broadcast(bloom_filter(varied.select("seed"), n_varied))
     texts = docs.select("doc_id", "text").mapInArrow(_segment_texts(sent), "seed long, content long, first_doc long, words binary")
     texts = texts.groupBy("seed", "content").agg(F.min("first_doc").alias("first_doc"), F.min("words").alias("words"))
     texts = scratch.put(texts, "segments")
@@ -394,7 +353,7 @@ def repeated_windows(docs: DataFrame, scratch: Scratch) -> DataFrame:
         found = alone.select("seed", "content", "of", "words").join(firsts, "words")
         found = found.groupBy("seed", "content").agg(F.array_sort(F.collect_list(F.struct("of", "first"))).alias("all"))
         decided = decided.unionByName(found.select("seed", "content", F.transform("all", lambda x: x["first"]).alias("firsts")))
-    sent_all = spark.sparkContext.broadcast(seed_filter(seeds, n_all))
+    sent_all = spark.sparkContext.broadcast(bloom_filter(seeds.select("seed"), n_all))
     kinds = f"{kind_of(docs, 'doc_id', 'mark')}, seed long, content long, start long, windows long"
     placed = docs.select("doc_id", "text", "mark").mapInArrow(_instances(sent_all), kinds).join(decided, ["seed", "content"])
     own = F.coalesce("doc_id", F.lit(int(LAST)))
