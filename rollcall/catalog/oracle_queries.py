@@ -251,6 +251,35 @@ def _bad_name(found: re.Match) -> str:
     return f"{found[1]} {found[2].rstrip('_')}_bad"
 
 
+_FRESHNESS_PLANTED = """
+select 'freshness_' || feed as name, 'freshness' as category,
+       case when late is null or late >= sla then 'fail' when 4 * late >= 3 * sla then 'warn' else 'pass' end as status,
+       late as value, if(late is null, null, sla) as threshold
+from (
+    select 'hr_employee_snapshot' as feed, 26 as sla, 0 as late
+    union all select 'badge_taps', 50, (select 24 * min(l.d - ingested_date) filter (l.d - ingested_date >= 2)
+        from raw_taps, (select max(snapshot_date) as d from raw_hr) l)
+    union all select 'leave_requests', 26, (select 24 * min(l.d - applied_ts::date) filter (l.d - applied_ts::date >= 5)
+        from raw_leave, (select max(snapshot_date) as d from raw_hr) l)
+    union all select 'travel_bookings', 26, (select 24 * min(l.d - depart_date) filter (l.d - depart_date >= 1)
+        from raw_travel, (select max(snapshot_date) as d from raw_hr) l)
+    union all select 'workplace_dim', 168, null
+)
+"""
+# Every site of a fact is known (q_dq_integrity), so the rows of the planted days are the orphans.
+_INTEGRITY_PLANTED = """
+select 'integrity_' || what as name, 'referential_integrity' as category,
+       if(n = 0, 'pass', 'fail') as status, n as value, 0 as threshold
+from (
+    select 'fct_attendance_daily_workplace_code' as what,
+           count(*) filter (day(local_date) in (2, 10)) as n from attendance
+    union all select 'fct_attendance_daily_local_date', count(*) filter (day(local_date) = 14) from attendance
+    union all select 'fct_workplace_capacity_daily_workplace_code',
+           count(*) filter (day(local_date) in (3, 11)) from capacity
+    union all select 'fct_floor_presence_hourly_workplace_code',
+           count(*) filter (day(local_date) in (4, 12)) from floor_hour
+)
+"""
 _CONTRACT_LANDED = """
 select * from (
     select 'leave_requests' as feed, c as "column", r as rule, (select coalesce(sum(w) filter (case r
@@ -528,6 +557,8 @@ ORACLES: dict[str, str] = {
         "select 'grain_' || model as name, 'grain_uniqueness' as category, "
         "if(n = 0, 'pass', 'fail') as status, n as value, 0 as threshold from repeats_bad",
     ),
+    "q_dq_freshness_planted": statement(_RESULT, _FRESHNESS_PLANTED),
+    "q_dq_integrity_planted": statement(_RESULT, _INTEGRITY_PLANTED),
     "q_contract_landed": statement('feed "column" rule violations:i', _CONTRACT_LANDED),
     "q_contract_violations": statement('feed "column" rule violations:i', _contract_rows()),
     "q_contract_orders": statement('feed "column" rule violations:i', _ORDERS_CONTRACT),

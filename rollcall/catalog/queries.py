@@ -184,6 +184,39 @@ def grain_planted(spark, sf):
     return quality.run_checks(_faulty(spark, sf), ("grain",)).select(*RESULT)
 
 
+def freshness_planted(spark, sf):
+    """Taps and travel that end in the range of a warning, leave that ends too early, sites that never came."""
+    e = estate(spark, sf)
+    last = e["hr_employee_snapshot"].agg(F.max("snapshot_date")).scalar()
+    feeds = {
+        "hr_employee_snapshot": e["hr_employee_snapshot"],
+        "badge_taps": e["badge_taps"].where(F.col("ingested_date") <= F.date_sub(last, 2)),
+        "travel_bookings": e["travel_bookings"].where(F.col("depart_date") <= F.date_sub(last, 1)),
+        "leave_requests": e["leave_requests"].where(F.col("applied_ts").cast("date") <= F.date_sub(last, 5)),
+        "workplace_dim": e["workplace_dim"].where("false"),
+    }
+    return quality.run_checks(Estate(spark, feeds, e.settings), ("freshness",)).select(*RESULT)
+
+
+def integrity_planted(spark, sf):
+    """Facts with sites and days that no dimension knows, and with none at all."""
+    e = estate(spark, sf).settle("int_employee_day", ATTENDANCE, CAPACITY)
+    day, site = F.dayofmonth("local_date"), F.col("workplace_code")
+
+    def lost(name: str, on: int) -> DataFrame:
+        return e[name].withColumn("workplace_code", F.when(day == on, "NOWHERE").when(day != on + 8, site))
+
+    late = F.when(F.dayofmonth("local_date") == 14, F.date_add("local_date", 36525)).otherwise(F.col("local_date"))
+    tables = {
+        ATTENDANCE: lost(ATTENDANCE, 2).withColumn("local_date", late),
+        CAPACITY: lost(CAPACITY, 3),
+        "fct_floor_presence_hourly": lost("fct_floor_presence_hourly", 4),
+        "dim_workplace": e["dim_workplace"],
+        "dim_date": e["dim_date"],
+    }
+    return quality.run_checks(Estate(spark, tables, e.settings), ("integrity",)).select(*RESULT)
+
+
 # A contract the orders table does not keep, to see every kind of rule count something.
 STRICT_ORDERS = Contract(
     "orders",
@@ -432,6 +465,8 @@ MODELS: dict[str, Query] = {
     "q_rules_planted": rules_planted,
     "q_gates_planted": gates_planted,
     "q_dq_grain_planted": grain_planted,
+    "q_dq_freshness_planted": freshness_planted,
+    "q_dq_integrity_planted": integrity_planted,
     "q_contract_landed": contract_landed,
     "q_contract_violations": contract_feeds,
     "q_contract_orders": contract_orders,
