@@ -154,6 +154,7 @@ def test_freshness_grades_by_day(spark):
         "badge_taps": "SELECT date'2024-03-11' AS ingested_date",
         "leave_requests": "SELECT timestamp_ntz'2024-03-09 23:00:00' AS applied_ts",
         "travel_bookings": "SELECT cast(NULL AS date) AS depart_date",
+        "workplace_dim": "SELECT 'S1' AS workplace_code",
     }
     e = small_estate(spark, **{k: spark.sql(q) for k, q in feeds.items()})
     got = {r["name"]: (r["status"], r["value"]) for r in quality.freshness(e).collect()}
@@ -167,6 +168,10 @@ def test_freshness_grades_by_day(spark):
     later = F.lit("2024-03-12").cast("date")
     got = {r["name"]: r["status"] for r in quality.freshness(e, later).collect()}
     assert got["freshness_leave_requests"] == "fail" and got["freshness_badge_taps"] == "pass"
+    feeds["workplace_dim"] += " WHERE false"
+    bare = small_estate(spark, **{k: spark.sql(q) for k, q in feeds.items()})
+    got = {r["name"]: (r["status"], r["value"]) for r in quality.freshness(bare).collect()}
+    assert got["freshness_workplace_dim"] == ("fail", None)
 
 
 def test_volume_needs_three_peers_and_uses_the_weekday(spark):
