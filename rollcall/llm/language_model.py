@@ -1,14 +1,15 @@
 """Scores of texts under a smoothed n-gram model, walked as a weighted automaton with failure arcs.
 
-Unigrams of every word are counted exactly. Words that make up at least a share of the tokens are the alphabet of
-longer n-grams, and n-grams with at least a share become states; so many words and states exist at most as their share
-goes into 1, whatever the corpus holds, which bounds what is sent to executors. Discounted counts are interpolated with
-the shorter history: an arc carries the whole probability of a kept n-gram, a failure arc the weight left for the rest.
-Every history's probabilities therefore sum to the base model's total.
+Unigrams of every word are counted exactly, and so are all n-grams; those seen at least LEAST times are kept, whatever
+the corpus holds, so that what is learnt grows with it. Discounted counts are interpolated with the shorter history: an
+arc carries the whole probability of a kept n-gram, a failure arc the weight left for the rest. Every history's
+probabilities therefore sum to the base model's total.
 
-Documents are dealt to blocks of bounded size by a hash. A block sends its counts of distinct words and gets back the
-totals of those that other blocks know too; words that it alone holds it counts itself. Then one pass from left to
-right scores each text.
+The model as a whole is a distributed table of n-grams with their totals and, for histories, what their arcs take.
+Documents are dealt to blocks of bounded size by a hash. A block sends its counts of distinct words and n-grams and gets
+back the totals of those of its own words that other blocks know too (words that it alone holds it counts itself) and of
+those of its own n-grams that are kept: all arcs its texts can take. From these it builds its part of the automaton,
+and one pass from left to right scores each text. Words and n-grams are told apart by 64-bit hashes.
 
 Defined results: a null or empty text is the end token alone. A null doc_id isn't learnt from and counts as held out.
 Each row is a document, so repeated rows are learnt from as often as they stand there and are scored each. An empty
@@ -18,29 +19,28 @@ table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rollcall.llm.shared import Scratch, WordHashes, crc_mod, only, signed, text_batches, words_of
+from rollcall.llm.shared import GOLDEN, Scratch, SplitTexts, ascii_lower, crc_mod, mixed, only, runs_hashed, signed
 
-END = b""
 FOLDS = 10
 SMOOTHING = 0.1
 DISCOUNT = 0.6
 ORDER = 2
-#: Least shares of the tokens for a word of the alphabet and for an n-gram that becomes a state or arc.
-WORD_SHARE = 2e-5
-GRAM_SHARE = 1e-6
-BLOCK_CHARS = 8 << 20
-
-_hashes = WordHashes()
+#: Least training count of an n-gram that becomes a state or arc, and so of the words in it.
+LEAST = 2
+BLOCK_CHARS = 2 << 20
+#: Hashes that stand for the begin and the end of a text, and the begin's word id.
+START_KEY, END_KEY = mixed(np.array([1, 2], np.uint64) * GOLDEN)
+START_HASH, END_HASH = signed(np.array([START_KEY, END_KEY])).tolist()
+START = -2
 
 
 def dealt(docs: DataFrame, blocks: int) -> DataFrame:
@@ -50,23 +50,43 @@ def dealt(docs: DataFrame, blocks: int) -> DataFrame:
     return docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
 
 
-def _word_counts(key: tuple, group: pa.Table) -> pa.Table:
-    """(block, word, n): training counts of the distinct words of a block, the end token among them; 0 for others."""
-    total: Counter = Counter()
-    for text, learnt in zip(group.column("text").to_pylist(), group.column("learnt").to_pylist(), strict=True):
-        if learnt:
-            total.update(words_of(text))
-            total[END] += 1
-        else:
-            total.update(dict.fromkeys(words_of(text), 0))
-            total[END] += 0
-    return pa.table(
-        {
-            "block": pa.array([key[0].as_py()] * len(total), pa.int64()),
-            "word": pa.array(signed(_hashes.array(list(total)))),
-            "n": pa.array(list(total.values()), pa.int64()),
-        }
-    )
+def _sequences(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, each text between a begin and an end, and the text that each belongs to."""
+    split = SplitTexts([ascii_lower(t) if t else b"" for t in texts])
+    sizes = np.bincount(split.row, minlength=len(texts)) + 2
+    ends = np.cumsum(sizes)
+    keys = np.empty(int(sizes.sum()), np.uint64)
+    keys[ends - sizes], keys[ends - 1] = START_KEY, END_KEY
+    keys[np.arange(len(split.row)) + 2 * split.row + 1] = split.hash
+    return keys, np.repeat(np.arange(len(texts)), sizes)
+
+
+def _runs(keys: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash and the first place of each run of `size` words within a text; a single word's hash is its own."""
+    if size == 1:
+        return keys, np.arange(len(keys))
+    at = np.flatnonzero(owner[: len(owner) - size + 1] == owner[size - 1 :])
+    return runs_hashed(keys, size)[at], at
+
+
+def _counting(order: int):
+    def count(key: tuple, group: pa.Table) -> pa.Table:
+        """(block, size, gram, history, n): training counts of the distinct n-grams of a block up to `order` words, the
+        begins and ends of texts among them, and the hash of all but the last word; 0 for those held out only."""
+        keys, owner = _sequences(group.column("text").to_pylist())
+        learnt = group.column("learnt").to_numpy()[owner]
+        parts, shorter = [], np.zeros(len(keys), np.uint64)
+        for size in range(1, order + 1):
+            hashes, at = _runs(keys, owner, size)
+            grams, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+            n = np.bincount(which, weights=learnt[at], minlength=len(grams)).astype(np.int64)
+            parts.append((np.full(len(grams), size, np.int32), signed(grams), signed(shorter[at][first]), n))
+            shorter = np.zeros(len(keys), np.uint64)
+            shorter[at] = hashes
+        sizes, grams, histories, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return pa.table({"block": np.full(len(n), key[0].as_py()), "size": sizes, "gram": grams, "history": histories, "n": n})
+
+    return count
 
 
 @dataclass
@@ -111,8 +131,15 @@ class Base:
         return math.log10(count + SMOOTHING) - self.below
 
 
-def automaton(base: Base, alphabet: dict[int, int], starts: int, grams: dict[tuple[int, ...], int]) -> Automaton:
-    """From counts of the alphabet's words (by hash) and of kept n-grams over word ids; START opens a text."""
+def automaton(
+    base: Base,
+    alphabet: dict[int, int],
+    starts: int,
+    grams: dict[tuple[int, ...], int],
+    masses: dict[tuple[int, ...], float] | None = None,
+) -> Automaton:
+    """From counts of the alphabet's words (by hash) and of kept n-grams over word ids; START opens a text. `masses` are
+    the discounted counts of all n-grams that follow a history, where `grams` are only some of them."""
     words = sorted(alphabet)
     ids = {w: i for i, w in enumerate(words)}
     count = {(i,): alphabet[w] for i, w in enumerate(words)} | {(START,): starts}
@@ -122,11 +149,15 @@ def automaton(base: Base, alphabet: dict[int, int], starts: int, grams: dict[tup
     made.start = state[(START,)]
     end = ids.get(END_HASH, -1)
     by_history: dict[tuple, list] = {}
-    for gram, n in sorted(grams.items(), key=lambda x: (len(x[0]), x[0])):
+    for gram, n in grams.items():
         count[gram] = n
         by_history.setdefault(gram[:-1], []).append((gram[-1], n))
-        if len(gram) < ORDER_MOST and gram[-1] != end and gram not in state:
-            state[gram] = len(made.failures)
+    if masses is None:
+        masses = {h: sum(n - DISCOUNT for _, n in following) for h, following in by_history.items()}
+    histories = sorted(masses, key=lambda h: (len(h), h))
+    for history in histories:
+        if len(history) > 1 and history in count:
+            state[history] = len(made.failures)
             made.failures.append((0, 0.0))
     probability = {(i,): 10 ** base.log(alphabet[w]) for i, w in enumerate(words)}
 
@@ -139,12 +170,12 @@ def automaton(base: Base, alphabet: dict[int, int], starts: int, grams: dict[tup
         return left.get(history, 1.0) * of(history[1:], word)
 
     left: dict[tuple, float] = {}
-    for history, following in sorted(by_history.items(), key=lambda x: len(x[0])):
+    for history in histories:
         if history not in state or not count.get(history):
             continue
         total = count[history]
-        left[history] = 1 - sum(n - DISCOUNT for _, n in following) / total
-        for word, n in following:
+        left[history] = 1 - masses[history] / total
+        for word, n in by_history.get(history, ()):
             probability[(*history, word)] = (n - DISCOUNT) / total + left[history] * of(history[1:], word)
 
     def longest(gram: tuple) -> int:
@@ -161,82 +192,61 @@ def automaton(base: Base, alphabet: dict[int, int], starts: int, grams: dict[tup
     return made
 
 
-START = 1 << 20
-END_HASH = int(np.int64(signed(_hashes.array([END]))[0]))
-#: Longest n-gram the packed keys hold: word ids take 21 bits.
-ORDER_MOST = 3
-
-
-def _grams(docs: DataFrame, ids: dict[int, int], order: int) -> DataFrame:
-    """(gram, n): training counts of n-grams of 2 to `order` words of the alphabet, packed into one number."""
-    sent = docs.sparkSession.sparkContext.broadcast(ids)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[bytes, int] = {}
-        for batch in text_batches(batches, 8 << 20):
-            found = []
-            for text in batch.column("text").to_pylist():
-                words = [*words_of(text), END]
-                if len(own) > 400_000:
-                    own.clear()
-                new = [w for w in words if w not in own]
-                for w, h in zip(new, signed(_hashes.array(new)).tolist(), strict=True):
-                    own[w] = sent.value.get(h, -1)
-                found += [START, *map(own.__getitem__, words), -1]
-            x = np.array(found, np.int64)
-            keys = []
-            for size in range(2, order + 1):
-                parts = [x[i : len(x) - size + 1 + i] for i in range(size)]
-                whole = np.logical_and.reduce([p >= 0 for p in parts])
-                key = np.zeros(int(whole.sum()), np.int64)
-                for p in parts:
-                    key = (key << 21) | p[whole]
-                keys.append(key)
-            grams, n = np.unique(np.concatenate(keys), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], names=["gram", "n"])
-
-    learnt = only(docs, "doc_id", "text").where(crc_mod("doc_id", FOLDS) != 0).select("text")
-    return learnt.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _unpacked(gram: int) -> tuple[int, ...]:
-    """Packed ids begin with 1, so a part of zero is a missing one; START stands for itself."""
-    parts = ((gram >> shift) & ((1 << 21) - 1) for shift in (42, 21, 0))
-    return tuple(x if x == START else x - 1 for x in parts if x)
-
-
-def _scoring(sent):
+def _part(base: Base, keys: np.ndarray, owner: np.ndarray, words: np.ndarray, counts: np.ndarray, totals: pa.Table, order: int) -> Automaton:
+    """The states and arcs that the texts of a block can take. `words` are its distinct hashes in order, `counts` their
+    training counts; `totals` (size, gram, total, taken, arcs) holds its kept n-grams and what histories' arcs take."""
+    in_alphabet = (counts >= LEAST) & (words != START_KEY)
+    names = signed(words[in_alphabet])
+    alphabet = dict(zip(names.tolist(), counts[in_alphabet].tolist(), strict=True))
+    names = np.sort(names)
+
+    def ids(places: np.ndarray) -> np.ndarray:
+        return np.where(keys[places] == START_KEY, START, np.searchsorted(names, signed(keys[places])))
+
+    sizes, grams, n, taken, arcs = (totals.column(c).to_numpy() for c in ("size", "gram", "total", "taken", "arcs"))
+    kept, masses = {}, {}
+    for size in range(1, order + 1):
+        of = sizes == size
+        hashes, at = _runs(keys, owner, size)
+        found, first = np.unique(signed(hashes), return_index=True)
+        place = np.searchsorted(found, grams[of])
+        at = at[first[place]]
+        named = list(zip(*(ids(at + i).tolist() for i in range(size)), strict=True))
+        if size > 1:
+            kept.update(zip(named, n[of].tolist(), strict=True))
+        mass = (taken[of] - DISCOUNT * arcs[of]).tolist()
+        masses.update((named[i], mass[i]) for i in np.flatnonzero(arcs[of]).tolist())
+    starts = counts[words == START_KEY]
+    return automaton(base, alphabet, int(starts[0]) if len(starts) else 0, kept, masses)
+
+
+def _scoring(base: Base, order: int):
     def score(key: tuple, docs: pa.Table, totals: pa.Table) -> pa.Table:
-        base, model = sent.value
-        known = dict(zip(totals.column("word").to_pylist(), totals.column("total").to_pylist(), strict=True))
-        own: Counter = Counter()
-        split = [words_of(t) for t in docs.column("text").to_pylist()]
-        for words, learnt in zip(split, docs.column("learnt").to_pylist(), strict=True):
-            if learnt:
-                own.update(words)
-                own[END] += 1
-        entry: dict[bytes, tuple[int, float]] = {}
-        seen: dict[bytes, bool] = {}
-        distinct = list({w for words in split for w in words} | {END})
-        for word, h in zip(distinct, signed(_hashes.array(distinct)).tolist(), strict=True):
-            c = known.get(h, own[word])
-            seen[word] = c > 0
-            entry[word] = (model.ids.get(h, -1), base.log(c))
-        n_tokens, n_known, base_score, scores = [], [], [], []
-        for words in split:
-            words = [*words, END]
-            arcs = [entry[w] for w in words]
-            n_tokens.append(len(words))
-            n_known.append(sum(map(seen.__getitem__, words)))
+        keys, owner = _sequences(docs.column("text").to_pylist())
+        learnt = docs.column("learnt").to_numpy()
+        words, which = np.unique(keys, return_inverse=True)
+        counts = np.bincount(which, weights=learnt[owner], minlength=len(words)).astype(np.int64)
+        known = totals.filter(pc.equal(totals.column("size"), 1))
+        counts[np.searchsorted(words, known.column("gram").to_numpy().view(np.uint64))] = known.column("total").to_numpy()
+        model = _part(base, keys, owner, words, counts, totals, order)
+        logs = {c: base.log(c) for c in set(counts.tolist())}
+        entry = [(model.ids.get(h, -1), logs[c]) for h, c in zip(signed(words).tolist(), counts.tolist(), strict=True)]
+        begin = np.flatnonzero(keys == START_KEY)
+        end = np.append(begin[1:], len(keys))
+        n_known, base_score, scores = [], [], []
+        for at, to in zip((begin + 1).tolist(), end.tolist(), strict=True):
+            here = which[at:to]
+            arcs = [entry[i] for i in here.tolist()]
+            n_known.append(int((counts[here] > 0).sum()))
             base_score.append(math.fsum(b for _, b in arcs))
             scores.append(model.score(arcs))
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "held_out": pa.array([not x for x in docs.column("learnt").to_pylist()]),
-                "n_tokens": pa.array(n_tokens, pa.int64()),
+                "n_tokens": pa.array(end - begin - 1, pa.int64()),
                 "n_known": pa.array(n_known, pa.int64()),
-                "train_tokens": pa.array([base.tokens] * len(split), pa.int64()),
+                "train_tokens": pa.array([base.tokens] * len(begin), pa.int64()),
                 "base_score": pa.array(base_score, pa.float64()),
                 "score": pa.array(scores, pa.float64()),
             }
@@ -252,27 +262,27 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
     rows = dealt(docs, blocks)
-    counts = rows.groupBy("block").applyInArrow(_word_counts, "block long, word long, n long")
-    same = W.partitionBy("word")
+    counts = rows.groupBy("block").applyInArrow(_counting(order), "block long, size int, gram long, history long, n long")
+    same = W.partitionBy("gram", "size")
     counts = counts.withColumns(
         {"total": F.sum("n").over(same), "held": F.count(F.lit(1)).over(same), "first": F.min("block").over(same) == F.col("block")}
     )
     seen = Observation()
+    word = (F.col("size") == 1) & (F.col("gram") != START_HASH)
     counts = counts.observe(
-        seen, F.sum("n").alias("tokens"), F.count_if(F.col("first") & (F.col("total") > 0)).alias("distinct")
-    )
-    totals = scratch.put(
-        counts.where((F.col("held") > 1) | (F.col("total") > 1)).select("block", "word", "total", "first"), "totals"
+        seen,
+        F.sum(F.when(word, F.col("n"))).alias("tokens"),
+        F.count_if(word & F.col("first") & (F.col("total") > 0)).alias("distinct"),
     )
+    sent = F.when(F.col("size") == 1, (F.col("held") > 1) | (F.col("total") > 1)).otherwise(F.col("total") >= LEAST)
+    totals = scratch.put(counts.where(sent).select("block", "size", "gram", "history", "total", "first"), "totals")
     base = Base(seen.get["tokens"] or 0, seen.get["distinct"] or 0)
-    frequent = totals.where("first").where(F.col("total") >= max(2.0, WORD_SHARE * base.tokens)).select("word", "total")
-    alphabet = {r["word"]: r["total"] for r in frequent.collect()}
-    learnt = docs.where(crc_mod("doc_id", FOLDS) != 0).count()
-    ids = {w: i + 1 for i, w in enumerate(sorted(alphabet))}
-    least = max(2.0, GRAM_SHARE * base.tokens)
-    grams = _grams(docs, ids, order).where(F.col("n") >= least).toArrow()
-    kept = {_unpacked(g): n for g, n in zip(grams.column("gram").to_pylist(), grams.column("n").to_pylist(), strict=True)}
-    model = automaton(base, alphabet, learnt, kept)
-    sent = spark.sparkContext.broadcast((base, model))
+    follow = totals.where("first and size > 1").groupBy((F.col("size") - 1).alias("size"), F.col("history").alias("gram"))
+    follow = follow.agg(F.sum("total").alias("taken"), F.count(F.lit(1)).alias("arcs"))
+    columns = ("block", "size", "gram", "total", "taken", "arcs")
+    none = F.lit(0).cast("long")
+    histories = totals.where(F.col("size") < order).join(follow, ["size", "gram"], "left").fillna(0, ["taken", "arcs"])
+    longest = totals.where(F.col("size") == order).withColumns({"taken": none, "arcs": none})
+    totals = histories.select(*columns).union(longest.select(*columns))
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_scoring(sent), schema)
+    return rows.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_scoring(base, order), schema)

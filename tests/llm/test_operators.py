@@ -220,6 +220,39 @@ def test_language_model(docs, rows, empty):
     assert language_model.scored(empty).count() == 0
 
 
+@pytest.mark.parametrize("order", [2, 3])
+def test_language_model_keeps_rare_ngrams(spark, monkeypatch, order):
+    """All n-grams seen twice are kept among 150,000 tokens, counted by plain loops."""
+    monkeypatch.setattr(language_model, "BLOCK_CHARS", 200_000)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 2500) % 30_000) for _ in range(60)]
+    learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 10]
+    words = [["<s>", *t.encode().split(), b""] for t in texts]
+    count = Counter()
+    for i in learnt:
+        for size in range(1, order + 1):
+            count.update(zip(*(words[i][k:] for k in range(size)), strict=False))
+    base = {g: n for g, n in count.items() if len(g) == 1 and g != ("<s>",)}
+    below = sum(base.values()) + 0.1 * (len(base) + 1)
+    kept = {g: n for g, n in count.items() if len(g) > 1 and n >= 2}
+    assert sum(n == 2 for n in kept.values()) > 1000
+    taken = Counter()
+    for g, n in kept.items():
+        taken[g[:-1]] += n - 0.6
+
+    def of(history, word):
+        p = of(history[1:], word) if history else (base.get((word,), 0) + 0.1) / below
+        if not history or history not in taken:
+            return p
+        return p * (1 - taken[history] / count[history]) + max(0, kept.get((*history, word), 0.6) - 0.6) / count[history]
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.score for r in language_model.scored(docs, order).collect()}
+    for i, w in enumerate(words):
+        want = sum(math.log10(of(tuple(w[max(0, k - order + 1) : k]), w[k])) for k in range(1, len(w)))
+        assert math.isclose(got[i], want, rel_tol=1e-9)
+
+
 def test_automaton_probabilities_sum_to_one():
     base = language_model.Base(100, 3)
     counts = {11: 50, 22: 30, language_model.END_HASH: 20}
