@@ -1,8 +1,9 @@
 """Near duplicates: SuperMinHash signatures, banding, links confirmed on full shingle sets, components.
 
-Defined results: a null or blank text has an empty set, links with nothing and is kept. Rows that share a doc_id
-are one node of the graph, so repeated rows get the same component. A null doc_id never becomes a component_id
-while its class has another; a class of null ids only has a null component and is kept. Extra columns are ignored.
+Defined results: a null or blank text has an empty set, links with nothing and is kept. Rows with equal sets are one
+node of the graph, whatever their doc_ids, and doc_ids only name the components: texts that share a doc_id link each by
+itself, and a null doc_id links like any other. A null never becomes a component_id while its component has another; a
+component of null ids only has a null component_id and is kept. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.shared import (
@@ -122,7 +123,7 @@ def _signed_batches(rows: int):
             sketch = (bits & np.uint64(0xFF)).astype(np.uint8)
             yield with_columns(
                 batch,
-                ["doc_id"],
+                ["doc_id", "key"],
                 n_shingles=([len(x) for x in sets], pa.int64()),
                 digest=([blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets], pa.binary()),
                 bands=([signed(x) if len(s) else None for x, s in zip(bands, sets, strict=True)], pa.list_(pa.int64())),
@@ -196,31 +197,44 @@ def connected(scratch: Scratch, edges: DataFrame) -> DataFrame:
             return links.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
 
+def text_key() -> Column:
+    """128-bit digest of a text; a null's is empty."""
+    return F.coalesce(F.unhex(F.md5("text")), F.lit(b""))
+
+
 def near_duplicates(docs: DataFrame, min_percent: int = 80) -> DataFrame:
-    """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept.
+    """Per row of `docs` (doc_id, text): doc_id, n_shingles, component_id, kept."""
+    found = components(docs, min_percent).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
 
-    Documents with equal sets form a class by a 128-bit digest; only its smallest id goes on. Classes that share a
+def components(docs: DataFrame, min_percent: int = 80) -> DataFrame:
+    """Per row of `docs` (doc_id, text): doc_id, key (of its text), n_shingles, component, which is a number or null for
+    an empty set, and component_id, the component's smallest doc_id.
+
+    Documents with equal sets form a class by a 128-bit digest; only one row of it goes on. Classes that share a
     band meet in a bucket. In each bucket every class is compared with the first; classes still in different
     components are compared with the member that shares most buckets, and last with each other by their signatures, so
     that no pair of a bucket that lies in two components goes unexamined. There a pair whose signatures agree in fewer
     components than the similarity less four of its standard deviations isn't compared on its texts."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
-    docs = only(docs, "doc_id", "text")
+    docs = only(docs, "doc_id", "text").withColumn("key", text_key())
     share = min_percent / 100
     least = share - 4 * (share * (1 - share) / COMPONENTS) ** 0.5
-    schema = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch binary"
-    signs = scratch.put(docs.mapInArrow(_signed_batches(rows_per_band(share)), schema), "signatures")
-    classes = signs.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("rows"))
+    schema = "doc_id long, key binary, n_shingles long, digest binary, bands array<long>, sketch binary"
+    signs = docs.mapInArrow(_signed_batches(rows_per_band(share)), schema)
+    signs = scratch.put(signs.withColumn("row", F.monotonically_increasing_id()), "signatures")
+    classes = signs.where("digest is not null").groupBy("digest")
+    classes = classes.agg(F.min("row").alias("node"), F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("rows"))
     classes = scratch.put(classes, "classes")
-    repeated = classes.where("rows > 1 and node is not null").select("digest", F.col("node").alias("doc_id"))
-    maybe = probably_among(repeated, "digest")("digest")
-    sketched = ("n_shingles", "bands", "sketch")
-    alone = signs.where("digest is not null and doc_id is not null").where(~maybe)
+    maybe = probably_among(classes.where("rows > 1"), "digest")("digest")
+    sketched = ("doc_id", "key", "n_shingles", "bands", "sketch")
+    alone = signs.where("digest is not null").where(~maybe)
     several = signs.where("digest is not null").where(maybe)
-    chosen = classes.where("node is not null").where(maybe).select("digest", F.col("node").alias("doc_id"))
-    nodes = alone.select("doc_id", *sketched).union(several.join(chosen, ["digest", "doc_id"]).select("doc_id", *sketched))
-    nodes = scratch.put(nodes.withColumnRenamed("doc_id", "node"), "nodes")
+    chosen = classes.where(maybe).select("digest", F.col("node").alias("row"))
+    nodes = alone.select("row", *sketched).union(several.join(chosen, ["digest", "row"]).select("row", *sketched))
+    nodes = scratch.put(nodes.withColumnRenamed("row", "node"), "nodes")
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
     shared = scratch.put(shared, "shared")
@@ -229,9 +243,14 @@ def near_duplicates(docs: DataFrame, min_percent: int = 80) -> DataFrame:
     members = scratch.put(entries.select("node").distinct(), "members")
     member = probably_among(members, "node")
     sketches = nodes.where(member("node")).join(members.hint("merge"), "node", "left_semi").select("node", *sketched)
-    sketches = scratch.put(sketches.dropDuplicates(["node"]), "sketches")
-    texts = docs.where(member("doc_id")).join(members.select(F.col("node").alias("doc_id")).hint("merge"), "doc_id", "left_semi")
-    texts = scratch.put(texts.dropDuplicates(["doc_id"]), "texts")
+    sketches = scratch.put(sketches, "sketches")
+    who = F.xxhash64("doc_id", "key").alias("who")
+    held = sketches.select("node", F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key"))
+    texts = docs.select("*", who).where(probably_among(sketches.select(who), "who")("who"))
+    same = texts["doc_id"].eqNullSafe(held["of_doc"]) & (texts["key"] == held["of_key"])
+    texts = texts.join(held.hint("merge"), same).select("node", "text")
+    texts = scratch.put(texts.dropDuplicates(["node"]), "texts")
+    sketches = sketches.drop("doc_id", "key")
     degree = entries.join(entries.groupBy("bucket").count(), "bucket").groupBy("node").agg(F.sum("count").alias("degree"))
     entries = scratch.put(entries.join(degree, "node"), "degrees")
     scratch.drop(nodes)
@@ -270,16 +289,18 @@ def near_duplicates(docs: DataFrame, min_percent: int = 80) -> DataFrame:
     pairs = left.groupBy("bucket", "met").applyInArrow(_agreeing(least, min_percent), "a long, b long")
     links = links.union(confirmed(scratch.put(pairs, "pairs")))
     component = connected(scratch, links)
-    result = classes.join(component.toDF("node", "c"), "node", "left").select(
-        "digest", F.coalesce("c", "node").alias("component")
-    )
+    result = classes.join(component.toDF("node", "c"), "node", "left")
+    result = scratch.put(result.select("digest", "id", F.coalesce("c", "node").alias("component")), "components")
+    names = scratch.put(result.groupBy("component").agg(F.min("id").alias("name")), "names")
+    result = result.join(names, "component").select("digest", "component", "name")
     return (
-        signs.select("doc_id", "n_shingles", "digest")
+        signs.select("doc_id", "key", "n_shingles", "digest")
         .join(result, "digest", "left")
         .select(
             "doc_id",
+            "key",
             "n_shingles",
-            F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
+            "component",
+            F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("name")).alias("component_id"),
         )
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )

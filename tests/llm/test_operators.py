@@ -109,6 +109,15 @@ def test_near_duplicates(docs, rows, empty, percent):
     assert near_dedup.near_duplicates(empty, percent).count() == 0
 
 
+def test_near_duplicates_with_null_and_shared_ids(spark):
+    """Links don't depend on ids: texts under one id link each by itself, null ids link like others."""
+    other = " ".join(f"second{i}" for i in range(90))
+    rows = [(7, BASE), (7, other), (8, BASE + " end"), (9, other + " end"), (None, other + " two ends"), (None, LONG), (None, LONG + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == {(7, 7, True): 2, (8, 7, False): 1, (9, 7, False): 1, (None, 7, False): 1, (None, None, True): 2}
+
+
 def test_bands_follow_the_similarity():
     assert [near_dedup.rows_per_band(x) for x in (0.8, 0.85)] == [6, 7]
 
