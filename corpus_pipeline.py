@@ -38,12 +38,20 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id, once."""
-    groups = near_dedup.near_duplicates(docs)
-    gone = groups.where("not kept").select(F.col("doc_id").alias("of_doc")).distinct()
-    docs = only(docs, *_held(docs))
-    left = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["of_doc"]), "left_anti")
-    return left.dropDuplicates(["doc_id"])
+    """Of each group of near duplicates one document, the one with the smallest id (null last), then the smallest digest
+    of its text. A document is a doc_id with a text: equal rows count once, rows that share an id but differ in text are
+    judged each by its own text, and so are rows with a null id. Texts without words are in no group."""
+    scratch = Scratch(spark)
+    found = near_dedup.components(docs).where("component is not null").select("doc_id", "key", "component")
+    found = scratch.put(found, "found")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    best = found.groupBy("component").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    best = scratch.put(best.select("component", "best"), "best")
+    gone = found.join(best, "component").where(~order.eqNullSafe(F.col("best")))
+    gone = gone.select(F.col("doc_id").alias("of_doc"), F.col("key").alias("of_key")).distinct()
+    docs = only(docs, *_held(docs)).withColumn("key", near_dedup.text_key())
+    same = docs["doc_id"].eqNullSafe(gone["of_doc"]) & (docs["key"] == gone["of_key"])
+    return docs.join(gone.hint("merge"), same, "left_anti").dropDuplicates(["doc_id", "key"]).drop("key")
 
 
 def clean_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ import math
 import zlib
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -118,6 +119,28 @@ def test_near_duplicates_with_null_and_shared_ids(spark):
     assert got == {(7, 7, True): 2, (8, 7, False): 1, (9, 7, False): 1, (None, 7, False): 1, (None, None, True): 2}
 
 
+def test_pipeline_keeps_one_document_of_each_group(spark, empty):
+    words = lambda t: (t or "").encode().lower().split()
+    shingles = lambda t: {tuple(w[k : k + 5]) for w in [words(t)] for k in range(max(1, len(w) - 4)) if w}
+    text = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    rows = [
+        (1, text("a")), (None, text("a")), (None, text("b")), (None, text("c")), (None, text("c")), (None, text("c") + " end"),
+        (2, text("d")), (2, text("e")), (2, text("e")), (3, text("e") + " end"), (4, text("f")), (4, text("f") + " end"),
+        (None, None), (None, ""), (None, " "), (5, None), (6, text("g")), (None, text("h", 3)), (None, text("i", 3)), (7, text("b") + " end"),
+    ]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, key string").repartition(4)
+    left = sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest()))
+    want = []
+    for i, t in left:
+        a = shingles(t)
+        if not any(a and 100 * len(a & shingles(u)) >= 80 * len(a | shingles(u)) for _, u in want):
+            want.append((i, t))
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == ["doc_id", "text"]
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(want)
+    assert corpus_pipeline.one_of_each_group(spark, empty, "").count() == 0
+
+
 def test_bands_follow_the_similarity():
     assert [near_dedup.rows_per_band(x) for x in (0.8, 0.85)] == [6, 7]
 
