@@ -24,8 +24,8 @@ from rollcall.llm.shared import Scratch, only
 KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9a-zA-Z]{24,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
 NAMES = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)"
 CANDIDATE = (
-    r"""(?<![A-Za-z0-9+/_.-])(?:([A-Za-z_][A-Za-z0-9_-]{2,30}\s{0,2}[=:]\s{0,2}["']?)|(?=[A-Za-z+/_.-]{0,200}[0-9]))"""
-    r"([A-Za-z0-9+/_.-]{12,200})"
+    r"""(?<![A-Za-z0-9+/_.-])(?:([A-Za-z_][A-Za-z0-9_-]{2,30}\s{0,2}[=:]\s{0,2}["']?)|(?=[A-Za-z+/_.-]*+[0-9]))"""
+    r"([A-Za-z0-9+/_.-]{12,}+)"
 )
 PLACEHOLDER = r"(?i)^(x+|0+|1234\w*|changeme\w*|example\w*|placeholder\w*|your[_-]?\w+|test\w*|dummy\w*|none|null|true|false)$"
 
@@ -93,8 +93,7 @@ def with_features(found: DataFrame, triples: list[str]) -> DataFrame:
     kinds = F.regexp_replace(F.regexp_replace(F.regexp_replace(value, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "0")
     runs = F.regexp_replace(kinds, r"(.)\1+", "$1")
     lower = F.regexp_replace(F.lower("value"), "[^a-z]+", " ")
-    at = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(lower) - 2))
-    own = F.filter(F.transform(at, lambda i: F.substring(lower, i, F.lit(3))), lambda t: t.rlike("^[a-z]{3}$"))
+    own = F.regexp_extract_all(lower, F.lit("(?=([a-z]{3}))"), F.lit(1))
     common = F.array(*[F.lit(t) for t in triples]) if triples else F.array().cast("array<string>")
     covered = F.size(F.filter(own, lambda t: F.array_contains(common, t))) * 3
     columns = {

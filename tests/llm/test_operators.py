@@ -342,3 +342,14 @@ def test_secret_scan(docs, rows, empty):
     sure = {(r.doc_id, r.length) for r in found if r.is_secret}
     assert {(16, 40), (16, 20), (17, 18)} <= sure
     assert secrets.scan(empty).count() == 0
+
+
+def test_secret_scan_takes_long_values_whole(spark):
+    part = lambda n: hashlib.sha512(str(n).encode()).hexdigest()
+    jwt = f"eyJ{part(1)}.eyJ{part(2)}{part(3)}.{part(4)}{part(5)[:80]}"
+    late = "a" * 300 + "7"
+    docs = spark.createDataFrame([(1, f"see {jwt} end"), (2, f"see {late} end")], "doc_id long, text string")
+    labelled = {r.value: r.label for r in secrets.weak_labels(secrets.candidates(docs)).collect()}
+    assert labelled[jwt] == 1 and late in labelled and len(labelled) == 2
+    got = {(r.doc_id, r.start, r.length, r.value_sha256) for r in secrets.scan(docs).collect()}
+    assert got == {(i, 4, len(v), hashlib.sha256(v.encode()).hexdigest()) for i, v in ((1, jwt), (2, late))} and len(jwt) == 600
