@@ -1,6 +1,7 @@
 """Secret scans in built-in expressions: candidates, features, and a random forest against false positives.
 
-Candidates are long mixed runs of key characters and the values of assignments to telling names. Features: length,
+Candidates are mixed runs of 12 or more key characters and the values of assignments to telling names, 4 or more signs
+that are no blanks or quotes. Features: length,
 share of digits, changes of character class, distinct characters, coverage by a dictionary of the corpus's own letter
 triples, path signs, the word before and whether the value is assigned. The forest is grown level by level: one
 aggregate counts labels by tree, node, feature and bin over a bounded sample of labelled findings, and the best splits
@@ -22,10 +23,20 @@ from rollcall.llm.shared import Scratch, only
 
 # Public formats of well-known keys, names that secrets are assigned to, and the candidate's shape.
 KNOWN_FORMATS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[0-9A-Za-z_-]{35}|sk_live_[0-9a-zA-Z]{24,}|eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)$"
-NAMES = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)"
+NAMES = r"(?i:passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key)"
+#: An assignment to a telling name, its key quoted or not, and its value: signs other than blanks and quotes, without
+#: punctuation that ends a phrase and without what `&`, `,` or `;` joins on as the next assignment.
+TELLING = (
+    r"""(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]++["']?\s{0,2}[=:])"""
+    rf"""(?=[A-Za-z0-9_-]*?{NAMES})[A-Za-z0-9_-]++["']?\s{{0,2}}[=:]{{1,2}}+>?+\s{{0,2}}"""
+    r"""(?:(?i:bearer|basic|token)\s{1,2})?["']?"""
+)
+ASSIGNED = (
+    r"""(?:[^\s"'&,;:.)\]}>]|[&,;:.)\]}>](?![,;:.)\]}>]*+(?:[\s"']|\z))(?!(?<=[&,;])[A-Za-z0-9_.-]{1,40}\s{0,2}[=:])){4,}+"""
+)
+LEAD = r"""[A-Za-z_][A-Za-z0-9_-]{2,30}\s{0,2}[=:]\s{0,2}["']?"""
 CANDIDATE = (
-    r"""(?<![A-Za-z0-9+/_.-])(?:([A-Za-z_][A-Za-z0-9_-]{2,30}\s{0,2}[=:]\s{0,2}["']?)|(?=[A-Za-z+/_.-]*+[0-9]))"""
-    r"([A-Za-z0-9+/_.-]{12,}+)"
+    rf"(?:{TELLING}{ASSIGNED})|(?<![A-Za-z0-9+/_.-])(?:{LEAD}|(?=[A-Za-z+/_.-]*+[0-9]))[A-Za-z0-9+/_.-]{{12,}}+"
 )
 PLACEHOLDER = r"(?i)^(x+|0+|1234\w*|changeme\w*|example\w*|placeholder\w*|your[_-]?\w+|test\w*|dummy\w*|none|null|true|false)$"
 
@@ -41,9 +52,9 @@ FEATURES = ("length", "digits", "upper", "changes", "distinct", "coverage", "pat
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, value, before, lead): runs with a digit and a letter, or long assigned values. `start` counts
-    code points from 0. Matches are found in order, so the text before each is cut off by its own end."""
-    docs = only(docs, "doc_id", "text").where(F.col("text").rlike("[A-Za-z0-9+/_.-]{12}"))
+    """(doc_id, start, value, before, lead): runs with a digit and a letter, or values assigned to telling names. `start`
+    counts code points from 0. Matches are found in order, so the text before each is cut off by its own end."""
+    docs = only(docs, "doc_id", "text").where(F.col("text").rlike("[A-Za-z0-9+/_.-]{12}") | F.col("text").rlike(TELLING))
     whole = F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))
     docs = docs.withColumn("whole", whole).withColumn("parts", F.split("text", CANDIDATE, -1))
     lengths = F.transform("whole", lambda w: F.length(w))
@@ -60,12 +71,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     )["all"]
     docs = docs.where(F.size("whole") > 0).withColumn("ends", ends)
     found = docs.select("doc_id", "text", F.explode(F.arrays_zip("whole", "ends")).alias("x"))
-    value = F.regexp_extract("x.whole", CANDIDATE, 2)
+    lead = F.regexp_extract("x.whole", f"^(?:{TELLING}|{LEAD})", 0)
+    found = found.withColumn("lead", lead)
+    value = F.expr("substring(x.whole, length(lead) + 1)")
     found = found.select(
         "doc_id",
         "text",
         value.alias("value"),
-        F.regexp_extract("x.whole", CANDIDATE, 1).alias("lead"),
+        "lead",
         (F.col("x.ends") - F.length(value)).alias("start"),
     )
     before = F.substring("text", F.greatest(F.lit(1), F.col("start") + 1 - BEFORE), F.least(F.lit(BEFORE), F.col("start")))

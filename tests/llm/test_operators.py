@@ -353,3 +353,22 @@ def test_secret_scan_takes_long_values_whole(spark):
     assert labelled[jwt] == 1 and late in labelled and len(labelled) == 2
     got = {(r.doc_id, r.start, r.length, r.value_sha256) for r in secrets.scan(docs).collect()}
     assert got == {(i, 4, len(v), hashlib.sha256(v.encode()).hexdigest()) for i, v in ((1, jwt), (2, late))} and len(jwt) == 600
+
+
+def test_secret_scan_takes_all_values_of_telling_names(spark):
+    hexes = [hashlib.sha1(str(n).encode()).hexdigest() for n in range(3)]
+    cases = [
+        ("password=hunter22", ["hunter22"]),
+        ('x password = "Tr0ub4dor&3horse!" y', ["Tr0ub4dor&3horse!"]),
+        ('{"password": "correcthorsebattery", "n": 1}', ["correcthorsebattery"]),
+        ("db.passwd=p%ss#1, then", ["p%ss#1"]),
+        (f"?token={hexes[0]}&secret={hexes[1]}&x=1", hexes[:2]),
+        (f"Authorization: Bearer {hexes[2]}.", [hexes[2]]),
+        ("secret='" + "k%" * 3000 + "'", ["k%" * 3000]),
+        ("password: no", []),
+    ]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = Counter((r.doc_id, r.start, r.length, r.value_sha256) for r in secrets.scan(docs).collect())
+    assert got == Counter(
+        (i, t.index(v), len(v), hashlib.sha256(v.encode()).hexdigest()) for i, (t, values) in enumerate(cases) for v in values
+    )
