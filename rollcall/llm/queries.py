@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.llm import (
+    chunked_bpe,
     decontamination,
     language_id,
     language_model,
@@ -14,9 +15,11 @@ from rollcall.llm import (
     near_dedup,
     nearest,
     packing,
+    periodic_runs,
     secrets,
     substring_dedup,
     token_counts,
+    vector_codes,
 )
 from rollcall.llm.shared import crc_mod, table
 
@@ -79,6 +82,48 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = chunked_bpe.decoded(chunked_bpe.encoded(table(spark, sf_dir, "documents"), path), path)
+    names = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(names, 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = vector_codes.usable(table(spark, sf_dir, "embeddings"), "label")
+    books = vector_codes.trained(vectors)
+    rows = vector_codes.with_group_sums(vector_codes.coded(vectors, books, "label"), "label", "error", "label_error")
+    return rows.select(
+        "vec_id",
+        F.array_join(F.transform("code", lambda i: F.lower(F.lpad(F.hex(i), 2, "0"))), "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.digest()).alias("codebooks_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic_runs.collapsed(periodic_runs.with_planted_tails(table(spark, sf_dir, "documents")))
+    order = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"], r["start"].alias("at"), r["period"].alias("of")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = rows.withColumn("most", F.array_max(order))
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("most.at").alias("start"),
+        F.col("most.length").alias("length"),
+        F.col("most.of").alias("period"),
+        F.expr("1000 * most.length div most.of").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -98,6 +143,9 @@ QUERIES = {
         op8_decontamination,
         op9_near_dedup,
         op10_language_id,
+        op11_bpe_chunks,
+        op12_vector_codes,
+        op13_periodic_runs,
         pipeline,
     )
 }
@@ -108,6 +156,33 @@ _LINES = """
     from documents
 """
 
+
+
+def _nearest(k: int) -> str:
+    """Each part with the nearest entry of book k; the least distance, then the least index."""
+    return f"""
+    select vec_id, label, part, v, best.entry as entry, best.far as far from (
+        select p.vec_id, p.label, p.part, p.v,
+            min({{'far': list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))::bigint,
+                'entry': b.entry}}) as best
+        from pieces p join book{k} b on b.part = p.part group by all
+    )"""
+
+
+def _round(k: int) -> str:
+    """Parts assigned to book k, and book k + 1 with the floors of their means."""
+    return f"""
+near{k} as ({_nearest(k)}),
+means{k} as (
+    select part, entry, list(((total - ((total % n) + n) % n) // n)::bigint order by at) as v
+    from (
+        select part, entry, at, sum(x) as total, count(*) as n
+        from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as at from near{k}) group by all
+    ) group by part, entry
+),
+book{k + 1} as (select b.part, b.entry, coalesce(m.v, b.v) as v from book{k} b left join means{k} m using (part, entry))"""
+
+
 ORACLES = {
     "op1_line_dedup": f"""
 with lines as ({_LINES}),
@@ -205,5 +280,34 @@ reached(doc_id, other) as (
 select d.doc_id, coalesce(s.n, 0) as n_shingles, min(r.other) as component_id, d.doc_id = min(r.other) as kept
 from documents d left join sizes s using (doc_id) join reached r on r.doc_id = d.doc_id
 group by d.doc_id, s.n
+""",
+    "op12_vector_codes": f"""
+with held as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+    from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+pieces as (
+    select vec_id, label, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] as v
+    from held, range(16) p(part)
+),
+book0 as (
+    select part, row_number() over (partition by part order by vec_id) - 1 as entry, v
+    from pieces where vec_id in (select vec_id from held order by vec_id limit 64)
+),
+{_round(0)},
+{_round(1)},
+near2 as ({_nearest(2)}),
+codes as (
+    select vec_id, any_value(label) as label, sum(far) as error,
+        string_agg(lower(printf('%02x', entry)), '' order by part) as code
+    from near2 group by vec_id
+),
+digest as (
+    select sha256(string_agg(x, ',' order by part, entry, at)) as d
+    from (select part, entry, unnest(v)::varchar as x, generate_subscripts(v, 1) as at from book2)
+)
+select vec_id, code, error::bigint as error, (sum(error) over (partition by label))::bigint as label_error, d as codebooks_sha256
+from codes, digest
 """,
 }
