@@ -174,10 +174,10 @@ def _round(k: int) -> str:
     return f"""
 near{k} as ({_nearest(k)}),
 means{k} as (
-    select part, entry, list(((total - ((total % n) + n) % n) // n)::bigint order by at) as v
+    select part, entry, list(((total - ((total % n) + n) % n) // n)::bigint order by pos) as v
     from (
-        select part, entry, at, sum(x) as total, count(*) as n
-        from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as at from near{k}) group by all
+        select part, entry, pos, sum(x) as total, count(*) as n
+        from (select part, entry, unnest(v) as x, generate_subscripts(v, 1) as pos from near{k}) group by all
     ) group by part, entry
 ),
 book{k + 1} as (select b.part, b.entry, coalesce(m.v, b.v) as v from book{k} b left join means{k} m using (part, entry))"""
@@ -299,13 +299,13 @@ book0 as (
 {_round(1)},
 near2 as ({_nearest(2)}),
 codes as (
-    select vec_id, any_value(label) as label, sum(far) as error,
+    select vec_id, any_value(label) as label, cast(sum(far) as bigint) as error,
         string_agg(lower(printf('%02x', entry)), '' order by part) as code
     from near2 group by vec_id
 ),
 digest as (
-    select sha256(string_agg(x, ',' order by part, entry, at)) as d
-    from (select part, entry, unnest(v)::varchar as x, generate_subscripts(v, 1) as at from book2)
+    select sha256(string_agg(x, ',' order by part, entry, pos)) as d
+    from (select part, entry, cast(unnest(v) as varchar) as x, generate_subscripts(v, 1) as pos from book2)
 )
 select vec_id, code, error::bigint as error, (sum(error) over (partition by label))::bigint as label_error, d as codebooks_sha256
 from codes, digest
