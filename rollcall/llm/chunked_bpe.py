@@ -3,7 +3,7 @@
 A rolling hash of the last WINDOW bytes cuts texts where its low bits are zero, so that equal passages of different
 documents fall into equal chunks. The hashes of all chunks of all documents are counted; those that recur most are
 encoded once, in tasks, and sent to every worker as a table of bounded size. Each worker keeps other chunks in a
-bounded cache, so a chunk is not encoded again while it holds it.
+bounded cache that outlives its tasks, so a chunk is not encoded again while it holds it.
 
 Chunks alone would be wrong at their joins, where the split into pre-tokens depends on both sides. A pre-token is sure
 once two more follow it in what was scanned: the split pattern never looks further. At a join the text from the end of
@@ -24,6 +24,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,8 @@ from rollcall.llm.vocabulary import BYTE_PIECES, BYTE_SIGNS, PLAIN, Cache
 WINDOW, MEAN = 16, 256
 #: Bounds of the table sent to all workers (its chunks have at most LONGEST bytes), and of a worker's cache in bytes.
 MOST_SHARED, LONGEST, CACHED_BYTES = 16_384, 1024, 16 << 20
+#: Pre-tokens a worker keeps, and bytes of text it works on at once.
+PIECES, AT_ONCE = 250_000, 1 << 20
 #: Boundaries a chunk offers for agreement, and sure ones that the repair of a join looks for at first.
 OFFERED = 4
 MULTIPLIER = np.uint32(0x9E3779B1)
@@ -61,7 +64,7 @@ def cuts_of(raw: bytes, mean: int = MEAN) -> np.ndarray:
 
 
 class Vocabulary:
-    """Token bytes and the encoding of single pre-tokens."""
+    """Token bytes, the encoding of single pre-tokens, and what was encoded lately."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -73,11 +76,14 @@ class Vocabulary:
         octet = {sign: b for b, sign in BYTE_SIGNS.items()}
         names = {i: t for t, i in stated["model"]["vocab"].items()} | added
         self.octets = [b""] * (max(names) + 1)
+        self.decimal = [str(i) for i in range(len(self.octets))]
         for i, name in names.items():
             self.octets[i] = bytes(octet[c] for c in name) if all(c in octet for c in name) else name.encode()
         special = [t.encode() for t in sorted(added.values(), key=len, reverse=True)]
         self.special = re.compile(b"(" + b"|".join(map(re.escape, special)) + b")") if special else None
         self.special_ids = {t.encode(): np.array([i], "<i4").tobytes() for i, t in added.items()}
+        self.chunks: dict[bytes, tuple] = {}
+        self.held = 0
         merged = [stated["model"]["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in stated["model"]["merges"]]
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
@@ -85,9 +91,9 @@ class Vocabulary:
         if all(a < b for a, b in zip(merged, merged[1:], strict=False)):  # ids rise with the order of merges: ranks say the same
             ranks = {self.octets[i]: i for i in names if i not in added}
             merges = tiktoken.Encoding("ranks", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-            self.piece = Cache(lambda p: np.array(merges.encode_single_piece(p.encode()), "<i4").tobytes())
+            self.piece = Cache(lambda p: np.array(merges.encode_single_piece(p.encode()), "<i4").tobytes(), most=PIECES)
         else:
-            self.piece = Cache(lambda p: np.array(self.library.encode(p, add_special_tokens=False).ids, "<i4").tobytes())
+            self.piece = Cache(lambda p: np.array(self.library.encode(p, add_special_tokens=False).ids, "<i4").tobytes(), most=PIECES)
 
     def scan(self, octets: bytes) -> tuple[list[int], list[bytes]]:
         """The lengths in bytes and the ids of the pre-tokens of a text without special tokens."""
@@ -107,6 +113,12 @@ class Vocabulary:
         return b"".join([held[i] for i in ids if 0 <= i < len(held)]).decode("utf-8", "replace")
 
 
+@lru_cache(maxsize=2)
+def of_worker(path: str) -> Vocabulary:
+    """One vocabulary, with its caches, for all tasks of a worker."""
+    return Vocabulary(path)
+
+
 def _entry(lengths: list[int], ids: list[bytes]) -> tuple[bytes, tuple[int, ...]]:
     """The ids of a chunk, and (place in bytes, place among ids) of its first boundaries, then of the last sure one."""
     sure = max(0, len(lengths) - 2)
@@ -124,20 +136,20 @@ class ChunkEncoder:
 
     def __init__(self, vocabulary: Vocabulary, shared: dict[bytes, tuple] | None = None, mean: int = MEAN):
         self.vocabulary, self.shared, self.mean = vocabulary, shared or {}, mean
-        self.cache: dict[bytes, tuple] = {}
-        self.cached = self.asked = self.encoded = 0
+        self.asked = self.encoded = 0
 
     def entry(self, chunk: bytes) -> tuple[bytes, tuple[int, ...]]:
         self.asked += 1
-        held = self.shared.get(chunk) or self.cache.get(chunk)
+        vocabulary = self.vocabulary
+        held = self.shared.get(chunk) or vocabulary.chunks.get(chunk)
         if held is None:
             self.encoded += 1
-            held = _entry(*self.vocabulary.scan(chunk))
-            if self.cached > CACHED_BYTES:
-                self.cache.clear()
-                self.cached = 0
-            self.cache[chunk] = held
-            self.cached += len(chunk)
+            held = _entry(*vocabulary.scan(chunk))
+            if vocabulary.held > CACHED_BYTES:
+                vocabulary.chunks.clear()
+                vocabulary.held = 0
+            vocabulary.chunks[chunk] = held
+            vocabulary.held += len(chunk)
         return held
 
     def _repaired(self, octets: bytes, sure: int, begin: int, edges: tuple[int, ...]) -> tuple[bytes, int] | None:
@@ -236,7 +248,7 @@ def shared_chunks(docs: DataFrame, path: str, most: int = MOST_SHARED, mean: int
             yield pa.RecordBatch.from_arrays([pa.array(sorted(fresh), pa.binary())], names=["chunk"])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = of_worker(path)
         for batch in batches:
             made = [_entry(*vocabulary.scan(c)) for c in batch.column("chunk").to_pylist()]
             columns = [batch.column("chunk"), pa.array([i for i, _ in made], pa.binary()), pa.array([e for _, e in made], pa.list_(pa.int32()))]
@@ -252,8 +264,8 @@ def encoded(docs: DataFrame, path: str, most_shared: int = MOST_SHARED, mean: in
     sent = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, path, most_shared, mean))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkEncoder(Vocabulary(path), sent.value, mean)
-        for batch in text_batches(batches):
+        encoder = ChunkEncoder(of_worker(path), sent.value, mean)
+        for batch in text_batches(batches, AT_ONCE):
             made = [encoder.ids(octets, cuts) for octets, cuts in _texts_cut(batch, mean)]
             offsets = np.cumsum([0, *(len(x) // 4 for x in made)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(made), "<i4")))
@@ -267,10 +279,32 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
     """Per row of `rows` (doc_id, ids): both, and the text that the ids stand for; null ids stand for an empty text."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(path)
+        vocabulary = of_worker(path)
         for batch in batches:
             texts = [vocabulary.decode(x) if x else "" for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     rows = only(rows, "doc_id", "ids")
     return rows.mapInArrow(decode, f"{kind_of(rows, 'doc_id', 'ids')}, text string")
+
+
+def round_trip(docs: DataFrame, path: str, most_shared: int = MOST_SHARED, mean: int = MEAN) -> DataFrame:
+    """Encoding and decoding in one pass: per row of `docs` (doc_id, text), doc_id, n_tokens, the ids in decimal joined by
+    commas, and the text decoded from these ids."""
+    sent = docs.sparkSession.sparkContext.broadcast(shared_chunks(docs, path, most_shared, mean))
+
+    def turn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = of_worker(path)
+        encoder = ChunkEncoder(vocabulary, sent.value, mean)
+        for batch in text_batches(batches, AT_ONCE):
+            made = [np.frombuffer(encoder.ids(octets, cuts), "<i4").tolist() for octets, cuts in _texts_cut(batch, mean)]
+            columns = [
+                batch.column("doc_id"),
+                pa.array([len(x) for x in made], pa.int64()),
+                pa.array([",".join([vocabulary.decimal[i] for i in x]) for x in made], pa.string()),
+                pa.array([vocabulary.decode(x) for x in made], pa.string()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "ids", "text"])
+
+    docs = only(docs, "doc_id", "text")
+    return docs.mapInArrow(turn, f"{kind_of(docs, 'doc_id')}, n_tokens long, ids string, text string")

@@ -84,14 +84,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
-    rows = chunked_bpe.decoded(chunked_bpe.encoded(table(spark, sf_dir, "documents"), path), path)
-    names = F.array_join(F.transform("ids", lambda i: i.cast("string")), ",")
-    return rows.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(names, 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    rows = chunked_bpe.round_trip(table(spark, sf_dir, "documents"), path)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,8 @@ def test_chunked_ids_equal_the_library(docs, rows, spark, mean, shared):
     got = chunked_bpe.decoded(chunked_bpe.encoded(docs, BYTES, shared, mean), BYTES).collect()
     assert Counter((r.doc_id, tuple(r.ids)) for r in got) == want
     assert Counter((r.doc_id, r.text) for r in got) == Counter((i, library.decode(ids, skip_special_tokens=False)) for i, ids in want.elements())
+    turned = Counter((r.doc_id, r.n_tokens, r.ids, r.text) for r in chunked_bpe.round_trip(docs, BYTES, shared, mean).collect())
+    assert turned == Counter((r.doc_id, len(r.ids), ",".join(map(str, r.ids)), r.text) for r in got)
     empty = spark.createDataFrame([], SCHEMA)
     assert chunked_bpe.decoded(chunked_bpe.encoded(empty, BYTES), BYTES).count() == 0
 
