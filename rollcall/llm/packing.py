@@ -13,6 +13,7 @@ ids are separate documents. An empty table gives no pieces. Extra columns are ig
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
@@ -33,6 +34,12 @@ LOCAL_BITS = 36
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
 
 
+@lru_cache(maxsize=2)
+def _words_of_worker(path: str) -> WordIds:
+    """One tokenizer, with its caches, for all tasks of a worker."""
+    return WordIds(path)
+
+
 class Packer:
     """Pieces waiting by length, and the windows made of them. A piece is (document, start, ids, tokens of document)."""
 
@@ -129,7 +136,7 @@ def packed(docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, with_ids:
     schema = f"{kind_of(docs, 'doc_id')}, {PIECES}" + (", ids array<long>" if with_ids else "")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer, kinds = WordIds(path), Packer(TaskContext.get().partitionId(), tiers), None
+        words, packer, kinds = _words_of_worker(path), Packer(TaskContext.get().partitionId(), tiers), None
         for batch in text_batches(batches):
             if kinds is None:
                 longs = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
