@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from rollcall.catalog.oracle import metric_sql, metric_statement, statement
+from rollcall.catalog.oracle import metric_sql, metric_statement, statement, two_day_anchors
 from rollcall.catalog.queries import RETAIL_TESTS
 from rollcall.plans.declared import TABLE_TESTS
 from rollcall.plans.governance import NOT_MEASURES, WAIVERS
@@ -405,6 +405,23 @@ select date_day, year(date_day) as year, month(date_day) as month, day(date_day)
 from calendar
 """
 
+# Days that late taps of two days and leave from the second of them bear on: four back to three ahead, or a leave's own.
+_AFFECTED = """
+select distinct d as day from (
+    select unnest(generate_series(u - 3, u + 4, interval 1 day))::date as d
+    from (select distinct tap_ts_utc::date as u from raw_taps where ingested_date > tap_ts_utc::date),
+         (select min(snapshot_date) as s from raw_hr)
+    where u between s + 13 and s + 14
+    union all
+    select unnest(generate_series(start_date, least(end_date, hi + 1), interval 1 day))::date
+    from raw_leave, (select min(snapshot_date) as s,
+        greatest(max(snapshot_date), (select max(tap_ts_utc)::date from raw_taps)) as hi from raw_hr)
+    where start_date = s + 14 and start_date <= end_date
+)
+"""
+_FIRST = "(select min(snapshot_date) from raw_hr)"
+_WEEK = f"local_date between {_FIRST} + 9 and {_FIRST} + 15"
+
 ORACLES: dict[str, str] = {
     "q_workplace_space": statement(
         f"workplace_code workplace_name {_PLACE} tower floor:i {_DESKS} {_SITE_TAIL}", "space"
@@ -609,4 +626,18 @@ ORACLES: dict[str, str] = {
     "q_landed_days": statement(
         'feed "rows":i partitions:i partitions_validated:i', _LANDED
     ),
+    "q_day_range_rate": two_day_anchors(
+        metric_statement("attendance_rate", ("region",), "week", where=_WEEK)
+    ),
+    "q_day_range_waste": two_day_anchors(
+        metric_statement("waste_ratio", ("city",), "week", where=_WEEK)
+    ),
+    "q_affected_days": statement("day:d", _AFFECTED),
 }
+# A refresh must give what a build of everything gives.
+for _name, _whole in (
+    ("q_day_refresh", "q_attendance_daily_fact"),
+    ("q_day_refresh_capacity", "q_capacity_daily_fact"),
+    ("q_day_refresh_floors", "q_floor_hourly"),
+):
+    ORACLES[_name] = two_day_anchors(ORACLES[_whole])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,12 @@ from rollcall.operators.verify import TableTests, contract_violations, table_tes
 from rollcall.plans import governance, presence, quality, reports, rules, scorecard, staging
 from rollcall.plans.declared import TABLE_TESTS
 from rollcall.plans.estate import SHARED, Estate
+from rollcall.plans.increments import affected_days, build_daily, refresh
 from rollcall.plans.metrics import ATTENDANCE, CAPACITY, METRICS, MetricLayer
+from rollcall.settings import Settings
 from rollcall.sources.adapter import RetailAdapter, table
 from rollcall.sources.contracts import CONTRACTS, Contract, Field
+from rollcall.sources.days import DayRange, DayTables, LandedFeeds
 from rollcall.sources.feeds import landed_violations, load_report, read_feeds, write_feed
 from rollcall.sources.store import TableStore
 
@@ -420,6 +424,64 @@ def contract_landed(spark, sf):
     return landed_violations(spark, root, ("leave_requests", "workplace_dim"))
 
 
+# -- day ranges ---------------------------------------------------------------
+
+# An age limit makes a range need a bounded stretch of taps around it.
+TWO_DAYS = Settings(max_anchor_age_days=2)
+
+
+def _middle(spark, sf, first: int, last: int) -> DayRange:
+    start = RetailAdapter(spark, sf).first_day
+    return DayRange(start + timedelta(days=first), start + timedelta(days=last))
+
+
+def ranged_metric(name: str, dims, grain: str | None) -> Query:
+    """A metric of one week, from the partitions of that week and what it looks back and ahead for."""
+
+    def run(spark, sf):
+        feeds = LandedFeeds(spark, _landed(spark, sf))
+        e = Estate(spark, feeds, TWO_DAYS, TableStore(spark), _middle(spark, sf, 9, 15))
+        return MetricLayer(e).evaluate(name, dims, grain)
+
+    return run
+
+
+def _late(spark, sf) -> tuple[RetailAdapter, dict]:
+    """Taps reported a day late on two days, and requests for leave that begins on one of these."""
+    feeds, days = RetailAdapter(spark, sf), _middle(spark, sf, 13, 14)
+    tapped = F.col("tap_ts_utc").cast("date")
+    return feeds, {
+        "badge_taps": tapped.between(days.first, days.last) & (F.col("ingested_date") > tapped),
+        "leave_requests": F.col("start_date") == F.lit(days.last),
+    }
+
+
+def days_affected(spark, sf):
+    feeds, late = _late(spark, sf)
+    return affected_days({n: feeds[n].where(late[n]) for n in late}, TWO_DAYS, feeds)
+
+
+def refreshed(spark, sf) -> DayTables:
+    """Daily tables built without the late rows, then refreshed where these land."""
+    feeds, late = _late(spark, sf)
+    store = TableStore(spark)
+    root, tables = f"{store.root}/feeds", DayTables(spark, f"{store.root}/daily")
+    for name, feed in feeds.items():
+        write_feed(feed.where(~late[name]) if name in late else feed, root, name)
+    build_daily(spark, root, tables, TWO_DAYS)
+    changes = {n: store.put(f"late_{n}", feeds[n].where(late[n])) for n in late}
+    days = _middle(spark, sf, 13, 14)
+    here = F.col("tap_ts_utc").cast("date").between(days.first, days.last)
+    write_feed(feeds["badge_taps"].where(here), root, "badge_taps", replace_days_only=True)
+    write_feed(feeds["leave_requests"], root, "leave_requests")
+    refresh(spark, root, tables, changes, TWO_DAYS)
+    return tables
+
+
+def _refreshed(name: str) -> Query:
+    return lambda spark, sf: refreshed(spark, sf).read(name)
+
+
 MODELS: dict[str, Query] = {
     "q_workplace_space": _model("stg_workplace_space"),
     "q_workplace_rollup": _model("stg_workplace"),
@@ -499,6 +561,12 @@ MODELS: dict[str, Query] = {
     "q_measure_audit": measure_audit,
     "q_partitioned_roundtrip": partitioned_roundtrip,
     "q_landed_days": landed_days,
+    "q_day_range_rate": ranged_metric("attendance_rate", ("region",), "week"),
+    "q_day_range_waste": ranged_metric("waste_ratio", ("city",), "week"),
+    "q_affected_days": days_affected,
+    "q_day_refresh": _refreshed(ATTENDANCE),
+    "q_day_refresh_capacity": _refreshed(CAPACITY),
+    "q_day_refresh_floors": _refreshed("fct_floor_presence_hourly"),
 }
 
 

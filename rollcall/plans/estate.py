@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from rollcall.plans import marts, presence, staging
 from rollcall.settings import Settings
 from rollcall.sources.contracts import CONTRACTS
+from rollcall.sources.days import DayRange, feed_between, feed_days
 from rollcall.sources.store import TableStore
 
 LAYERS: dict[str, tuple[str, ...]] = {
@@ -51,12 +52,24 @@ SHARED = (
     "fct_floor_presence_hourly",
 )
 
+# Tables with rows of single days, which a day range cuts.
+DAILY = (
+    "int_employee_day",
+    "fct_attendance_daily",
+    "fct_workplace_capacity_daily",
+    "fct_floor_presence_hourly",
+)
+
 
 class Estate:
     """Names to DataFrames. A table is a lazy plan until `settle` writes it to the store.
 
     Two tables are stored as soon as they are asked for: the sites and the kept taps. A model
     given along with the feeds (from an earlier run, say) is taken as it is.
+
+    With a range of `days`, the daily tables and what they are made of hold these days only, with
+    the rows a run over everything gives them. Day feeds are then read by partition: snapshots of
+    the range, taps as far around it as `look` says. History and dimensions stay whole.
     """
 
     def __init__(
@@ -65,11 +78,13 @@ class Estate:
         feeds: Mapping[str, DataFrame],
         settings: Settings | None = None,
         store: TableStore | None = None,
+        days: DayRange | None = None,
     ) -> None:
         self.spark = spark
         self.settings = settings or Settings()
         self._store = store
         self._feeds = feeds
+        self.days = days
         self._tables: dict[str, DataFrame] = {}
         self._recipes: dict[str, Callable[[], DataFrame]] = self._graph()
 
@@ -94,6 +109,35 @@ class Estate:
             self._tables[name] = self.store.put(name, self[name])
         return self
 
+    def _cut(self, df: DataFrame, day: str) -> DataFrame:
+        return df if self.days is None else df.where(self.days.holds(day))
+
+    def _clipped(self, df: DataFrame, start: str, end: str) -> DataFrame:
+        return df if self.days is None else self.days.clipped(df, start, end)
+
+    def _snapshot(self) -> DataFrame:
+        """Snapshots of the days built."""
+        if self.days is None:
+            return self["stg_hr_employee_snapshot"]
+        return staging.hr_snapshot(feed_between(self._feeds, "hr_employee_snapshot", self.days))
+
+    def _taps(self) -> DataFrame:
+        """Raw taps that bear on the days built; all, if exits may follow entries of any age."""
+        look = self.settings.tap_look()
+        if self.days is None or look is None:
+            return self["badge_taps"]
+        return feed_between(self._feeds, "badge_taps", self.days.widened(*look))
+
+    def _calendar(self) -> DataFrame:
+        """A frame whose first and last `snapshot_date` are those of the days built."""
+        if self.days is None:
+            return self["stg_hr_employee_snapshot"]
+        bounds = feed_days(self._feeds, "hr_employee_snapshot").agg(
+            F.greatest(F.min("dt"), F.lit(self.days.first)).alias("lo"),
+            F.least(F.max("dt"), F.lit(self.days.last)).alias("hi"),
+        )
+        return bounds.where("lo <= hi").select(F.explode(F.array("lo", "hi")).alias("snapshot_date"))
+
     def _graph(self) -> dict[str, Callable[[], DataFrame]]:
         t, s = self.__getitem__, self.settings
         return {
@@ -114,20 +158,26 @@ class Estate:
             # one or both directions, and the shuffle that finds re-swipes must run once.
             "kept_taps": lambda: self.store.put(
                 "kept_taps",
-                staging.kept_taps(t("badge_taps"), t("stg_workplace"), s.repeat_window_seconds),
+                staging.kept_taps(self._taps(), t("stg_workplace"), s.repeat_window_seconds),
                 partition_by=("direction",),
             ),
-            "stg_badge_taps": lambda: staging.badge_taps(
-                t("kept_taps"), t("stg_workplace"), s.cutover_hour
+            "stg_badge_taps": lambda: self._cut(
+                staging.badge_taps(
+                    t("kept_taps"), t("stg_workplace"), s.cutover_hour, s.max_anchor_age_days
+                ),
+                "business_date",
             ),
             "int_employee_scd2": lambda: presence.employee_history(t("stg_hr_employee_snapshot")),
-            "int_leave_days": lambda: presence.leave_days(t("stg_leave_requests")),
+            "int_leave_days": lambda: presence.leave_days(
+                self._clipped(t("stg_leave_requests"), "start_date", "end_date")
+            ),
             "int_travel_days": lambda: presence.travel_days(
-                t("stg_travel_bookings"), t("stg_city_primary_workplace")
+                self._clipped(t("stg_travel_bookings"), "depart_date", "return_date"),
+                t("stg_city_primary_workplace"),
             ),
             "int_tap_day": lambda: presence.tap_day(t("stg_badge_taps")),
             "int_employee_day": lambda: presence.employee_day(
-                t("stg_hr_employee_snapshot"),
+                self._snapshot(),
                 t("stg_dept_schedule"),
                 t("int_leave_days"),
                 t("int_travel_days"),
@@ -144,13 +194,13 @@ class Estate:
             "fct_workplace_capacity_daily": lambda: marts.fct_workplace_capacity_daily(
                 t("int_employee_day"),
                 t("dim_workplace"),
-                t("stg_hr_employee_snapshot"),
+                self._calendar(),
                 "snapshot_date",
             ),
             "fct_floor_presence_hourly": lambda: marts.fct_floor_presence_hourly(
                 # The hour needs no business day, so the exits need no look-back join here.
-                staging.local_hours(t("kept_taps"), t("stg_workplace"))
-                if "stg_badge_taps" not in self._tables
+                self._cut(staging.local_hours(t("kept_taps"), t("stg_workplace")), "local_date")
+                if "stg_badge_taps" not in self._tables or self.days is not None
                 else t("stg_badge_taps")
             ),
         }

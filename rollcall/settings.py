@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 # Agreed hours of lateness per feed.
@@ -20,6 +21,8 @@ class Settings:
 
     repeat_window_seconds: int = 90
     cutover_hour: int = 4
+    # An exit follows an entry of at most so many days before; None for however old.
+    max_anchor_age_days: int | None = None
     # Regions whose allocated desks already contain the free-sharing pool.
     pooled_regions: tuple[str, ...] = ("CN",)
     seat_demand_buffer: float = 0.10
@@ -36,3 +39,15 @@ class Settings:
     volume_z_fail: float = 4.0
     termination_grace_days: int = 7
     sample_rows: int = 10
+
+    def tap_look(self) -> tuple[int, int] | None:
+        """Days by which the UTC day of a tap may lie before and after a business day it bears on; None for no bound.
+
+        A zone moves a tap by less than a day and the cutover by some hours more, together at most one day either way.
+        A re-swipe reaches as far as its window. An exit follows an entry up to `max_anchor_age_days` back, so with an
+        age limit both sides are bounded, and without one an entry bears on every later day.
+        """
+        if self.max_anchor_age_days is None:
+            return None
+        reach = 1 + self.max_anchor_age_days
+        return reach + math.ceil(self.repeat_window_seconds / 86_400), reach

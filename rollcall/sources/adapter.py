@@ -10,6 +10,7 @@ and reversed leave, postings, joiners, leavers, and people still reported active
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -101,9 +102,13 @@ class RetailAdapter(Mapping[str, DataFrame]):
         sites = self._table("supplier").agg(F.count(F.lit(1))).scalar()
         return days.select("start", "end", sites.alias("sites")).first()
 
+    @property
+    def first_day(self) -> date:
+        return self._constants["start"]
+
     @property
     def start(self) -> Column:
-        return F.lit(self._constants["start"])
+        return F.lit(self.first_day)
 
     @property
     def end(self) -> Column:
