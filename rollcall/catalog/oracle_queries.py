@@ -398,6 +398,94 @@ union all select 'workplace_dim', count(*), 1, 1 from raw_space
 union all select 'dept_schedule', count(*), 1, 1 from raw_schedule
 """
 
+# Days with a null, a value outside its domain, or each row twice; a day of taps; a column lost and one added.
+_LANDED_PLANTED = """
+select 'hr_employee_snapshot' as feed, count(*) + count(*) filter (snapshot_date = s + 7) as "rows",
+       count(distinct snapshot_date) as partitions,
+       count(distinct snapshot_date) filter (snapshot_date not in (s + 3, s + 5, s + 7)) as partitions_validated,
+       count(*) filter (snapshot_date in (s + 3, s + 5, s + 7)) as violations
+from raw_hr, (select min(snapshot_date) as s from raw_hr) group by all
+union all
+select 'badge_taps', count(*), count(distinct tap_ts_utc::date),
+       count(distinct tap_ts_utc::date) filter (tap_ts_utc::date <> s + 9), count(*) filter (tap_ts_utc::date = s + 9)
+from raw_taps, (select min(snapshot_date) as s from raw_hr)
+union all select 'travel_bookings', count(*), 1, 1, 0 from raw_travel
+union all select 'workplace_dim', count(*), 1, 0, 2 from raw_space
+"""
+
+# Facts with a day of repeats, a day of unknown sites, one of none, and (attendance) a day a century late.
+_SAMPLES_PLANTED = """
+with a as (
+    select if(day(local_date) = 14, local_date + 36525, local_date) as local_date, dept_l2,
+           case when day(local_date) = 2 then 'NOWHERE' when day(local_date) <> 10 then workplace_code end as site
+    from (select * from attendance union all select * from attendance where day(local_date) = 9)
+),
+c as (
+    select local_date, case when day(local_date) = 3 then 'NOWHERE' when day(local_date) <> 11 then workplace_code end as site
+    from (select * from capacity union all select * from capacity where day(local_date) = 9)
+),
+f as (
+    select local_date, tower, floor, local_hour,
+           case when day(local_date) = 4 then 'NOWHERE' when day(local_date) <> 12 then workplace_code end as site
+    from (select * from floor_hour union all select * from floor_hour where day(local_date) = 9)
+),
+d as (select * from emp_day union all select * from emp_day where day(local_date) = 11),
+bad as (
+    select 'integrity_fct_attendance_daily_workplace_code' as what, coalesce(site, '') as key, count(*) as n
+    from a where site is null or site = 'NOWHERE' group by all
+    union all select 'integrity_fct_attendance_daily_local_date', local_date::varchar, count(*) from a
+    where local_date >= date '2100-01-01' group by all
+    union all select 'integrity_fct_workplace_capacity_daily_workplace_code', coalesce(site, ''), count(*)
+    from c where site is null or site = 'NOWHERE' group by all
+    union all select 'integrity_fct_floor_presence_hourly_workplace_code', coalesce(site, ''), count(*)
+    from f where site is null or site = 'NOWHERE' group by all
+    union all select 'grain_int_employee_day', emp_id || '|' || local_date, count(*) from d group by all having count(*) > 1
+    union all select 'grain_fct_attendance_daily', local_date || '|' || coalesce(site, '') || '|' || dept_l2, count(*)
+    from a group by all having count(*) > 1
+    union all select 'grain_fct_workplace_capacity_daily', local_date || '|' || coalesce(site, ''), count(*)
+    from c group by all having count(*) > 1
+    union all select 'grain_fct_floor_presence_hourly',
+        local_date || '|' || coalesce(site, '') || '|' || tower || '|' || floor || '|' || local_hour, count(*)
+    from f group by all having count(*) > 1
+    union all select 'active_after_termination', emp_id || '|' || term_date, count(*) from hr
+    where is_post_exit and employment_status_reported = 'active' group by all
+    union all select 'snapshot_before_hire_date', emp_id || '|' || hire_date || '|' || snapshot_date, 1 from hr
+    where is_pre_hire and employment_status_reported = 'active'
+    union all select 'tap_after_termination', emp_id || '|' || term_date, count(*) from late_badges
+    where business_date > term_date + 7 group by all
+    union all select 'missing_workplace_timezone', workplace_code, delivered_workstations from dim_site
+    where has_missing_timezone
+)
+select what as "check", position, key, n as "rows"
+from (select *, row_number() over (partition by what order by n desc, key) as position from bad) where position <= 10
+"""
+
+# With one rate before the latest days there are no edges to compare between.
+_DRIFT_PLANTED = """
+select 'attendance_rate_drift' as name, 'distribution_drift' as category, 'warn' as status, null as value,
+       null as threshold, (select count(*) from (
+           select 1 from attendance where city is not null group by local_date, city
+           having sum(attendance_expected_days) between 1 and 19)) as left_out
+"""
+
+_FINDINGS = """
+select 'malformed_claim' as finding, 'fct_attendance_daily' as model, '' as "column", null as "rows", null as non_null
+union all select 'unknown_model', 'fct_badges', 'taps', null, null
+union all select 'missing_column', 'fct_attendance_daily', 'overtime_days', null, null
+union all select 'waiver_without_owner', 'fct_attendance_daily', 'leave_days', count(*), count(leave_days) from attendance
+union all select 'waiver_without_reason', 'fct_attendance_daily', 'travel_days', count(*), count(travel_days) from attendance
+union all select 'stale_waiver', 'fct_workplace_capacity_daily', 'seats', null, null
+union all select 'unclaimed_measure', 'fct_workplace_capacity_daily', 'floating_headcount', count(*),
+    count(floating_headcount) from capacity
+"""
+
+_TESTS_PLANTED = """
+select 'orders' as "table", c as "column", t as test, n as violations
+from (select count(*) filter (o_orderkey % 11 = 4) as keys, count(*) filter (o_orderkey % 7 = 3) as owners from orders),
+     lateral (values ('o_orderkey', 'not_null', keys), ('o_custkey', 'not_null', owners),
+                     ('o_orderkey', 'unique', 0), ('o_custkey', 'relationships', 0)) as v(c, t, n)
+"""
+
 _DATES = """
 select date_day, year(date_day) as year, month(date_day) as month, day(date_day) as day_of_month,
        dayofweek(date_day) as day_of_week_sun0, weekday_mon0,
@@ -593,6 +681,15 @@ ORACLES: dict[str, str] = {
     "q_dq_reconcile": statement(_RESULT, "checks_reconcile"),
     "q_dq_volume": statement(_RESULT, "checks_volume"),
     "q_dq_samples": statement('"check" emp_id "rows":i', _SAMPLES),
+    "q_dq_samples_planted": statement('"check" position:i key "rows":i', _SAMPLES_PLANTED),
+    "q_dq_drift_planted": statement(f"{_RESULT} left_out:f", _DRIFT_PLANTED),
+    "q_audit_findings": statement('finding model "column" "rows":i non_null:i', _FINDINGS),
+    "q_metric_ordered": statement(
+        "period:d city region attendance_daily:f position:i",
+        "select *, row_number() over (order by period, city, region) as position from "
+        f"({metric_sql('attendance_daily', ('city', 'region'), 'day')})",
+    ),
+    "q_table_tests_planted": statement('"table" "column" test violations:i', _TESTS_PLANTED),
     "q_scorecard": statement(
         f"{_RESULT} verdict owner review_by:d is_overdue:b",
         "select *, review_by < date '2025-09-01' as is_overdue from card",
@@ -626,6 +723,9 @@ ORACLES: dict[str, str] = {
     "q_landed_days": statement(
         'feed "rows":i partitions:i partitions_validated:i', _LANDED
     ),
+    "q_landed_days_planted": statement(
+        'feed "rows":i partitions:i partitions_validated:i violations:i', _LANDED_PLANTED
+    ),
     "q_day_range_rate": two_day_anchors(
         metric_statement("attendance_rate", ("region",), "week", where=_WEEK)
     ),

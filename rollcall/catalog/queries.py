@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.operators.ordering import numbered
 from rollcall.operators.verify import TableTests, contract_violations, table_test_results
 from rollcall.plans import governance, presence, quality, reports, rules, scorecard, staging
 from rollcall.plans.declared import TABLE_TESTS
@@ -19,7 +20,14 @@ from rollcall.settings import Settings
 from rollcall.sources.adapter import RetailAdapter, table
 from rollcall.sources.contracts import CONTRACTS, Contract, Field
 from rollcall.sources.days import DayRange, DayTables, LandedFeeds
-from rollcall.sources.feeds import landed_violations, load_report, read_feeds, write_feed
+from rollcall.sources.feeds import (
+    landed_violations,
+    load_report,
+    read_feeds,
+    read_manifest,
+    write_feed,
+    write_manifest,
+)
 from rollcall.sources.store import TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -305,7 +313,9 @@ def recall(spark, sf):
     e = Estate(spark, a).settle("stg_badge_taps", "int_employee_scd2")
     graded = {d[2] for d in scorecard.DEFECTS}
     results = quality.run_checks(e, [n for n in quality.CHECKS if n in graded])
-    return scorecard.recall(results, a.planted())
+    manifest = f"{e.store.root}/manifest.json"
+    write_manifest(a.planted(), manifest)
+    return scorecard.recall(results, read_manifest(spark, manifest))
 
 
 def quality_samples(spark, sf):
@@ -321,6 +331,40 @@ def quality_samples(spark, sf):
     return active.unionByName(taps)
 
 
+def samples_planted(spark, sf):
+    """The worst offenders of all twelve checks that name rows, over facts with lost sites, late days and repeats."""
+    e = estate(spark, sf).settle("stg_badge_taps", "int_employee_scd2", "int_employee_day", ATTENDANCE, CAPACITY)
+    day, site = F.dayofmonth("local_date"), F.col("workplace_code")
+
+    def repeated(df: DataFrame, on: int) -> DataFrame:
+        return df.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.when(day == on, 2).otherwise(1)))).drop("_copy")
+
+    def lost(name: str, on: int) -> DataFrame:
+        place = F.when(day == on, "NOWHERE").when(day != on + 8, site)
+        return repeated(e[name], 9).withColumn("workplace_code", place)
+
+    late = F.when(day == 14, F.date_add("local_date", 36525)).otherwise(F.col("local_date"))
+    tables = {
+        "int_employee_day": repeated(e["int_employee_day"], 11),
+        ATTENDANCE: lost(ATTENDANCE, 2).withColumn("local_date", late),
+        CAPACITY: lost(CAPACITY, 3),
+        "fct_floor_presence_hourly": lost("fct_floor_presence_hourly", 4),
+    }
+    whole = ("dim_workplace", "dim_date", "stg_hr_employee_snapshot", "stg_badge_taps", "int_employee_scd2", "dim_employee")
+    return quality.worst_offenders(Estate(spark, tables | {n: e[n] for n in whole}, e.settings))
+
+
+def drift_planted(spark, sf):
+    """Drift that can't be measured: of each city the days before the middle have one and the same rate."""
+    e = estate(spark, sf)
+    first = e["hr_employee_snapshot"].agg(F.min("snapshot_date")).scalar()
+    early = F.col("local_date") < F.date_add(first, 20)
+    met = F.when(early, F.col("attendance_expected_days")).otherwise(F.col("attendance_expected_met"))
+    facts = {ATTENDANCE: e[ATTENDANCE].withColumn("attendance_expected_met", met)}
+    found = quality.run_checks(Estate(spark, facts, e.settings), ("attendance_rate_drift",))
+    return found.select(*RESULT, F.col("details")["city_days_left_out"].alias("left_out"))
+
+
 # -- reports ------------------------------------------------------------------
 
 
@@ -359,6 +403,40 @@ def measure_audit(spark, sf):
     return governance.audit_measures(profiled, governance.claims(spark), governance.waivers(spark))
 
 
+def findings_planted(spark, sf):
+    """Claims and waivers that disagree with the facts in every way, next to what the facts hold of the columns."""
+    e = estate(spark, sf).settle("int_employee_day")
+    profiled = e.store.put("profile", governance.profile({m: e[m] for m in (ATTENDANCE, CAPACITY)}))
+    wrong = [(ATTENDANCE, "", "a"), ("fct_badges", "taps", "b"), (ATTENDANCE, "overtime_days", "c")]
+    claims = governance.claims(spark).where("column <> 'floating_headcount'")
+    claims = claims.unionByName(spark.createDataFrame(wrong, claims.schema))
+    waivers = governance.waivers(spark)
+    odd = [(ATTENDANCE, "leave_days", " ", "counted"), (ATTENDANCE, "travel_days", "desk", None), (CAPACITY, "seats", "desk", "old")]
+    waivers = waivers.unionByName(spark.createDataFrame(odd, waivers.schema))
+    found = governance.audit_findings(profiled, claims, waivers)
+    return found.join(profiled.select("model", "column", "rows", "non_null"), ["model", "column"], "left")
+
+
+def metric_ordered(spark, sf):
+    """A metric in the order of its keys, and the place of each row in it."""
+    e = estate(spark, sf)
+    daily = MetricLayer(e).evaluate("attendance_daily", ("city", "region"), "day", ordered=True)
+    return numbered(daily, e.store, "ordered")
+
+
+def table_tests_planted(spark, sf):
+    """Declared tests over orders of which some have lost their key or customer."""
+    k = F.col("o_orderkey")
+    orders = table(spark, sf, "orders").select(
+        F.when(k % 11 != 4, k).alias("o_orderkey"), F.when(k % 7 != 3, F.col("o_custkey")).alias("o_custkey")
+    )
+    tables = {"orders": orders, "customer": table(spark, sf, "customer")}
+    declared = TableTests(
+        not_null=("o_orderkey", "o_custkey"), unique=("o_orderkey",), refers=(("o_custkey", "customer", "c_custkey"),)
+    )
+    return table_test_results(tables, {"orders": declared})
+
+
 # -- sources ------------------------------------------------------------------
 
 
@@ -399,7 +477,24 @@ def partitioned_roundtrip(spark, sf):
 
 def landed_days(spark, sf):
     """Load report of all feeds: rows and partitions from the files themselves."""
-    return load_report(spark, _landed(spark, sf))
+    return load_report(spark, _landed(spark, sf)).drop("violations")
+
+
+def landed_days_planted(spark, sf):
+    """Load report of landed files of which some days and one undated feed break their contract."""
+    feeds, root = RetailAdapter(spark, sf), TableStore(spark).root
+    first, days = F.lit(feeds.first_day), F.col("snapshot_date")
+    hr = feeds["hr_employee_snapshot"]
+    hr = hr.withColumn("employment_status", F.when(days != F.date_add(first, 3), F.col("employment_status")))
+    hr = hr.withColumn("employee_type", F.when(days == F.date_add(first, 5), "robot").otherwise(F.col("employee_type")))
+    twice = F.explode(F.array_repeat(F.lit(1), F.when(days == F.date_add(first, 7), 2).otherwise(1)))
+    write_feed(hr.withColumn("copy", twice).drop("copy"), root, "hr_employee_snapshot")
+    taps, tapped = feeds["badge_taps"], F.col("tap_ts_utc").cast("date")
+    sideways = F.when(tapped == F.date_add(first, 9), "sideways").otherwise(F.col("direction"))
+    write_feed(taps.withColumn("direction", sideways), root, "badge_taps")
+    write_feed(feeds["travel_bookings"], root, "travel_bookings")
+    feeds["workplace_dim"].drop("timezone").withColumn("note", F.lit("x")).write.parquet(f"{root}/workplace_dim")
+    return load_report(spark, root, ("hr_employee_snapshot", "badge_taps", "travel_bookings", "workplace_dim"))
 
 
 def contract_landed(spark, sf):
@@ -550,6 +645,11 @@ MODELS: dict[str, Query] = {
     "q_dq_reconcile": _checks(("reconciliation",), "stg_badge_taps", ATTENDANCE),
     "q_dq_volume": _checks(("volume",)),
     "q_dq_samples": quality_samples,
+    "q_dq_samples_planted": samples_planted,
+    "q_dq_drift_planted": drift_planted,
+    "q_audit_findings": findings_planted,
+    "q_metric_ordered": metric_ordered,
+    "q_table_tests_planted": table_tests_planted,
     "q_scorecard": score,
     "q_scorecard_summary": score_summary,
     "q_scorecard_by_category": score_by_category,
@@ -561,6 +661,7 @@ MODELS: dict[str, Query] = {
     "q_measure_audit": measure_audit,
     "q_partitioned_roundtrip": partitioned_roundtrip,
     "q_landed_days": landed_days,
+    "q_landed_days_planted": landed_days_planted,
     "q_day_range_rate": ranged_metric("attendance_rate", ("region",), "week"),
     "q_day_range_waste": ranged_metric("waste_ratio", ("city",), "week"),
     "q_affected_days": days_affected,

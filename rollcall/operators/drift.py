@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 SLICES = 200
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> DataFrame:
-    """One row with `q`, the linearly interpolated quantiles in the order asked for.
+def exact_quantiles(df: DataFrame, value: str, probabilities: list[float] | Column) -> DataFrame:
+    """One row with `q`, the linearly interpolated quantiles in the order asked for. The probabilities may be an array
+    that the query itself computes.
 
     Equal values are counted together first. Approximate quantiles of the distinct values then
     cut them into slices of about equal size, whatever their distribution; where exactly the
@@ -37,10 +38,11 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: list[float]) -> Da
         .withColumn("start", F.coalesce(F.sum("size").over(so_far), F.lit(0)))
         .withColumn("total", F.sum("size").over(W.partitionBy()))
     )
-    asked = [F.struct(F.lit(i).alias("i"), F.lit(p).alias("p")) for i, p in enumerate(probabilities)]
+    if not isinstance(probabilities, Column):
+        probabilities = F.array(*map(F.lit, probabilities))
     rank = F.col("p") * (F.col("total") - 1)
     needed = (
-        starts.select("*", F.inline(F.array(*asked)))
+        starts.select("*", F.posexplode(probabilities).alias("i", "p"))
         .select(
             "slice",
             "start",
@@ -93,9 +95,12 @@ def _between() -> Column:
     return F.when(t < 0.5, a + (b - a) * t).otherwise(b - (b - a) * (1 - t))
 
 
-def _fractions(buckets: int) -> list[float]:
-    step = 1.0 / buckets
-    return [*(i * step for i in range(buckets)), 1.0]
+def _fractions(buckets: Column) -> Column:
+    """0, 1/buckets, ..., 1."""
+    return F.transform(
+        F.sequence(F.lit(0), buckets),
+        lambda i: F.when(i == buckets, F.lit(1.0)).otherwise(i * (F.lit(1.0) / buckets)),
+    )
 
 
 def bucket_index(x: Column, edges: Column, buckets: int) -> Column:
@@ -116,7 +121,7 @@ def psi(
     `buckets`, `baseline_n` and `recent_n`.
 
     Edges are quantiles of the baseline. The number of buckets shrinks with the smaller sample,
-    down to two; too few values or fewer than three distinct edges give 0.
+    down to two; too few values or fewer than three distinct edges can't be measured and give null.
     """
     x = F.col(value).cast("double").alias("x")
     baseline = baseline.where(F.col(value).isNotNull()).select(x, F.lit(False).alias("is_recent"))
@@ -129,20 +134,10 @@ def psi(
     enough = F.floor(F.least("baseline_n", "recent_n") / min_per_bucket).cast("int")
     used = F.least(F.lit(buckets), F.greatest(enough, F.lit(2)))
 
-    # Quantiles for every possible bucket count lie one after the other in `q`.
-    options = range(2, buckets + 1)
-    quantiles = exact_quantiles(baseline, "x", [p for b in options for p in _fractions(b)])
-    offset, chosen = 1, None
-    for b in options:
-        part = F.slice("q", offset, b + 1)
-        is_b = F.col("buckets") == b
-        chosen = F.when(is_b, part) if chosen is None else chosen.when(is_b, part)
-        offset += b + 1
-    edges = (
-        both.agg(*sizes)
-        .select(used.alias("buckets"), quantiles.scalar().alias("q"))
-        .select(F.sort_array(F.array_distinct(chosen)).alias("edges"))
-    )
+    # The bucket count depends on the data, so the query asks for its own quantiles.
+    asked = both.agg(*sizes).select(_fractions(used))
+    quantiles = exact_quantiles(baseline, "x", asked.scalar())
+    edges = quantiles.select(F.sort_array(F.array_distinct("q")).alias("edges"))
     placed = both.select("is_recent", "x", edges.scalar().alias("edges")).select(
         "is_recent",
         F.size("edges").alias("n_edges"),
@@ -166,7 +161,7 @@ def psi(
         (F.col("baseline_n") >= F.col("buckets")) & (F.col("recent_n") > 0) & (F.col("n_edges") >= 3)
     )
     return counted.select(
-        F.when(measurable, total).otherwise(F.lit(0.0)).alias("psi"),
+        F.when(measurable, total).alias("psi"),
         "buckets",
         "baseline_n",
         "recent_n",

@@ -20,7 +20,7 @@ def _strays(values: Column, allowed) -> Column:
     return F.count_if(F.coalesce(~values.isin(*allowed), F.lit(False)))
 
 
-def _field_rules(f: Field) -> dict[str, Column]:
+def field_rules(f: Field) -> dict[str, Column]:
     raw = F.col(f.name)
     typed = raw.try_cast(f.type)
     rules = {"type": F.count_if(typed.isNull() & raw.isNotNull())}
@@ -51,7 +51,7 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
         (f.name, rule, n)
         for f in contract.fields
         if f.name in present
-        for rule, n in _field_rules(f).items()
+        for rule, n in field_rules(f).items()
     ]
     missing = [f.name for f in contract.fields if f.name not in present]
     extra = [c for c in df.columns if c not in contract.by_name]
@@ -77,6 +77,26 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
     return out
 
 
+def partition_report(df: DataFrame, contract: Contract, partition: Column) -> DataFrame:
+    """(partition, rows, violations): every rule of the contract, counted where its rows lie.
+
+    Column rules and row counts share one aggregation keyed by the partition; the grain is one more. A column that is
+    missing counts once in each partition, an unexpected one once in each that fills it.
+    """
+    present = set(df.columns)
+    rules = [n for f in contract.fields if f.name in present for n in field_rules(f).values()]
+    rules += [F.lit(1).cast("bigint") for f in contract.fields if f.name not in present]
+    rules += [(F.count(F.col(c)) > 0).cast("bigint") for c in df.columns if c not in contract.by_name]
+    placed = df.withColumn("_partition", partition)
+    out = placed.groupBy("_partition").agg(F.count(F.lit(1)).alias("rows"), sum(rules).alias("violations"))
+    if contract.grain and set(contract.grain) <= present:
+        repeated = duplicate_keys(placed, ["_partition", *contract.grain]).groupBy("_partition")
+        out = out.join(repeated.agg(F.count(F.lit(1)).alias("_repeated")), "_partition", "left").withColumn(
+            "violations", F.col("violations") + F.coalesce("_repeated", F.lit(0))
+        )
+    return out.select(F.col("_partition").alias("partition"), "rows", "violations")
+
+
 def require(violations: DataFrame) -> None:
     """Stop on a broken contract, naming every broken rule (the frame has a few dozen rows)."""
     broken = violations.where("violations > 0").collect()

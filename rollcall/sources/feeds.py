@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.operators.verify import contract_violations, require
+from rollcall.operators.verify import contract_violations, partition_report, require
 from rollcall.sources.contracts import CONTRACTS
 
 
@@ -84,40 +84,39 @@ def _landing_day(column: str) -> Column:
     return F.col(column).cast("date")
 
 
-def load_report(spark: SparkSession, root: str, feeds=tuple(CONTRACTS)) -> DataFrame:
-    """Rows and partitions per feed, from one count per file; a feed without days is one partition.
+def landed_partitions(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """(partition, rows, violations) of a landed feed: the contract counted by the folder of each file."""
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]*$", 1)
+    return partition_report(scan_feed(spark, root, feed), CONTRACTS[feed], folder)
 
-    The contract reads every partition, so each is also a validated one.
-    """
-    parts = []
-    for feed in feeds:
-        per_file = (
-            spark.read.schema(CONTRACTS[feed].schema)
-            .parquet(f"{root}/{feed}")
-            .groupBy(F.col("_metadata.file_path").alias("file"))
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
-        folder = F.regexp_extract("file", r"([^/]+)/[^/]*$", 1)
-        parts.append(
-            per_file.agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.countDistinct(folder).alias("partitions"),
-            ).select(
-                F.lit(feed).alias("feed"),
-                "rows",
-                "partitions",
-                F.col("partitions").alias("partitions_validated"),
-            )
+
+def load_report(spark: SparkSession, root: str, feeds=tuple(CONTRACTS)) -> DataFrame:
+    """Rows, partitions, partitions in which no rule is broken, and violations per landed feed; a feed without days is
+    one partition. Files are read as they landed, so a report can be had of files that break their contract."""
+    parts = [
+        landed_partitions(spark, root, feed)
+        .agg(
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+            F.count(F.lit(1)).alias("partitions"),
+            F.count_if(F.col("violations") == 0).alias("partitions_validated"),
+            F.coalesce(F.sum("violations"), F.lit(0)).alias("violations"),
         )
+        .select(F.lit(feed).alias("feed"), "*")
+        for feed in feeds
+    ]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def write_manifest(counts: DataFrame, path: str) -> None:
+    """(key, value) rows, a few of them, as one flat JSON object."""
+    pairs = F.map_from_entries(F.collect_list(F.struct("key", F.col("value").cast("double").alias("value"))))
+    counts.agg(F.to_json(pairs).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """A flat JSON object of counts as (key, value) rows."""
-    wide = spark.read.option("multiLine", True).json(path)
-    return wide.select(*(F.col(c).cast("double").alias(c) for c in wide.columns)).unpivot(
-        [], wide.columns, "key", "value"
-    )
+    """A flat JSON object of counts as (key, value) rows; what isn't a number is null."""
+    texts = spark.read.text(path, wholetext=True)
+    return texts.select(F.explode(F.from_json("value", "map<string,double>")).alias("key", "value"))

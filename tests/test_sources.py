@@ -11,6 +11,7 @@ from rollcall.operators.verify import ContractBroken
 from rollcall.plans.build import build
 from rollcall.sources.contracts import CONTRACTS
 from rollcall.sources.feeds import (
+    landed_partitions,
     landed_violations,
     load_feeds,
     load_report,
@@ -87,6 +88,16 @@ def test_the_load_report_counts_rows_and_partitions(spark, estate, landed):
     assert all(r["partitions_validated"] == r["partitions"] for r in report.values())
 
 
+def test_a_broken_day_is_one_partition_fewer(spark, estate, tmp_path):
+    root, hr = str(tmp_path), estate["hr_employee_snapshot"]
+    bad = F.col("snapshot_date") == "2024-01-05"
+    write_feed(hr.withColumn("employee_type", F.when(~bad, F.col("employee_type")).otherwise("robot")), root, "hr_employee_snapshot")
+    row = load_report(spark, root, ("hr_employee_snapshot",)).first()
+    assert row["partitions_validated"] == row["partitions"] - 1 and row["violations"] == hr.where(bad).count()
+    parts = landed_partitions(spark, root, "hr_employee_snapshot").where("violations > 0").collect()
+    assert [p["partition"] for p in parts] == ["dt=2024-01-05"] and parts[0]["rows"] == row["violations"]
+
+
 def test_sound_files_pass_the_contracts_and_build(spark, estate, landed):
     assert landed_violations(spark, landed).where("violations > 0").isEmpty()
     built = build(spark, landed)
