@@ -28,13 +28,14 @@ from rollcall.sources.feeds import (
     write_feed,
     write_manifest,
 )
-from rollcall.sources.store import TableStore
+from rollcall.sources.store import SessionStore, TableStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def estate(spark: SparkSession, sf_dir: str) -> Estate:
-    return Estate(spark, RetailAdapter(spark, sf_dir))
+    """The model graph over the retail tables; what it stores, the queries of a session share."""
+    return Estate(spark, RetailAdapter(spark, sf_dir), store=SessionStore.of(spark))
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -310,10 +311,10 @@ def score_by_category(spark, sf):
 
 def recall(spark, sf):
     a = RetailAdapter(spark, sf)
-    e = Estate(spark, a).settle("stg_badge_taps", "int_employee_scd2")
+    e = estate(spark, sf).settle("stg_badge_taps", "int_employee_scd2")
     graded = {d[2] for d in scorecard.DEFECTS}
     results = quality.run_checks(e, [n for n in quality.CHECKS if n in graded])
-    manifest = f"{e.store.root}/manifest.json"
+    manifest = f"{TableStore(spark).root}/manifest.json"
     write_manifest(a.planted(), manifest)
     return scorecard.recall(results, read_manifest(spark, manifest))
 

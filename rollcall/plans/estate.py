@@ -11,7 +11,7 @@ from rollcall.plans import marts, presence, staging
 from rollcall.settings import Settings
 from rollcall.sources.contracts import CONTRACTS
 from rollcall.sources.days import DayRange, feed_between, feed_days
-from rollcall.sources.store import TableStore
+from rollcall.sources.store import SessionStore, TableStore
 
 LAYERS: dict[str, tuple[str, ...]] = {
     "raw": tuple(CONTRACTS),
@@ -138,6 +138,19 @@ class Estate:
         )
         return bounds.where("lo <= hi").select(F.explode(F.array("lo", "hi")).alias("snapshot_date"))
 
+    def _kept_taps(self) -> DataFrame:
+        return staging.kept_taps(
+            self._taps(), self["stg_workplace"], self.settings.repeat_window_seconds
+        )
+
+    def _hourly_taps(self) -> DataFrame:
+        """Taps with local date and hour. The hour needs no business day, so exits need no look-back join, and a plan
+        that reads the kept taps once doesn't store them."""
+        if "stg_badge_taps" in self._tables and self.days is None:
+            return self["stg_badge_taps"]
+        kept = self["kept_taps"] if "kept_taps" in self._tables else self._kept_taps()
+        return self._cut(staging.local_hours(kept, self["stg_workplace"]), "local_date")
+
     def _graph(self) -> dict[str, Callable[[], DataFrame]]:
         t, s = self.__getitem__, self.settings
         return {
@@ -157,9 +170,7 @@ class Estate:
             # Stored at once: the business day reads the kept taps three times, each time
             # one or both directions, and the shuffle that finds re-swipes must run once.
             "kept_taps": lambda: self.store.put(
-                "kept_taps",
-                staging.kept_taps(self._taps(), t("stg_workplace"), s.repeat_window_seconds),
-                partition_by=("direction",),
+                "kept_taps", self._kept_taps(), partition_by=("direction",)
             ),
             "stg_badge_taps": lambda: self._cut(
                 staging.badge_taps(
@@ -197,17 +208,12 @@ class Estate:
                 self._calendar(),
                 "snapshot_date",
             ),
-            "fct_floor_presence_hourly": lambda: marts.fct_floor_presence_hourly(
-                # The hour needs no business day, so the exits need no look-back join here.
-                self._cut(staging.local_hours(t("kept_taps"), t("stg_workplace")), "local_date")
-                if "stg_badge_taps" not in self._tables or self.days is not None
-                else t("stg_badge_taps")
-            ),
+            "fct_floor_presence_hourly": lambda: marts.fct_floor_presence_hourly(self._hourly_taps()),
         }
 
     def close(self) -> None:
-        """Delete the stored tables; frames that read them stop working."""
-        if self._store is not None:
+        """Delete the stored tables, unless the session shares them; frames that read them stop working."""
+        if self._store is not None and not isinstance(self._store, SessionStore):
             self._store.drop()
 
     def layer_counts(self) -> DataFrame:

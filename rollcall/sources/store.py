@@ -3,10 +3,15 @@
 A table that several plans read is written once and read back, which cuts lineage, survives
 lost executors and still prunes columns. The folder comes from `spark.checkpoint.dir`; only a
 local session without that setting gets a folder of its own. What a run leaves goes when its JVM ends.
+
+A `TableStore` belongs to one run. The `SessionStore` is shared by all runs of a session: a table that one of them has
+written is read by the others, as long as it is the same plan over the same files.
 """
 
 from __future__ import annotations
 
+import atexit
+import hashlib
 import tempfile
 import uuid
 
@@ -50,3 +55,55 @@ class TableStore:
         jvm = self._spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+class SessionStore(TableStore):
+    """Tables that all plans of a session share.
+
+    A table is known by its name, its plan and its input files. Plans are compared by Spark as a whole, so any setting
+    that enters them tells tables apart. Files are compared by their paths and total size: what Spark writes has new
+    names each time, whereas a file replaced in place by one of the same size is not noticed.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        super().__init__(spark)
+        self._held: dict[str, list[tuple[DataFrame, str, DataFrame]]] = {}
+        self.written = 0
+
+    @staticmethod
+    def of(spark: SparkSession) -> SessionStore:
+        """The store of a session; it is emptied when Python ends or the session is asked to `drop` it."""
+        application = spark.sparkContext.applicationId
+        if application not in _SHARED:
+            _SHARED[application] = SessionStore(spark)
+            atexit.register(_drop_if_alive, application)
+        return _SHARED[application]
+
+    def put(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
+        files = _inputs(df)
+        for plan, of, stored in self._held.get(name, ()):
+            if of == files and plan.sameSemantics(df):
+                return stored
+        self.written += 1
+        stored = super().put(f"{name}-{self.written}", df, partition_by)
+        self._held.setdefault(name, []).append((df, files, stored))
+        return stored
+
+    def drop(self) -> None:
+        self._held.clear()
+        super().drop()
+
+
+_SHARED: dict[str, SessionStore] = {}
+
+
+def _drop_if_alive(application: str) -> None:
+    store = _SHARED.pop(application)
+    if store._spark.sparkContext._jsc is not None:
+        store.drop()
+
+
+def _inputs(df: DataFrame) -> str:
+    """A digest of the files a plan reads and of their size."""
+    size = str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return hashlib.sha256("\n".join([size, *sorted(df.inputFiles())]).encode()).hexdigest()

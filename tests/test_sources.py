@@ -19,7 +19,11 @@ from rollcall.sources.feeds import (
     read_manifest,
     write_feed,
 )
-from rollcall.sources.store import TableStore, shared_folder
+from rollcall.catalog.queries import estate as shared_estate
+from rollcall.plans.estate import Estate
+from rollcall.settings import Settings
+from rollcall.sources.adapter import RetailAdapter
+from rollcall.sources.store import SessionStore, TableStore, shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -141,3 +145,24 @@ def test_the_store_lives_in_the_shared_folder_and_can_be_dropped(spark):
     store.drop()
     with pytest.raises(Exception):
         spark.read.parquet(f"{store.root}/t").count()
+
+
+def test_queries_of_a_session_share_stored_tables(spark, sf_dir, tmp_path):
+    shared = SessionStore.of(spark)
+    shared_estate(spark, sf_dir)["kept_taps"]
+    before = shared.written
+    for name in ("int_tap_day", "stg_badge_taps", "kept_taps"):
+        shared_estate(spark, sf_dir)[name].count()
+    assert shared.written == before
+    other = Settings(repeat_window_seconds=10)
+    Estate(spark, RetailAdapter(spark, sf_dir), other, shared)["kept_taps"]
+    assert shared.written == before + 1
+    at = str(tmp_path / "t")
+    spark.range(5).write.parquet(at)
+    assert shared.put("t", spark.read.parquet(at)).count() == 5
+    spark.range(7).write.mode("overwrite").parquet(at)
+    assert shared.put("t", spark.read.parquet(at)).count() == 7
+    written = shared.written
+    assert shared.put("t", spark.read.parquet(at)).count() == 7 and shared.written == written
+    shared.drop()
+    assert shared_estate(spark, sf_dir)["kept_taps"].count() > 0 and shared.written > written
