@@ -4,12 +4,9 @@ from __future__ import annotations
 
 import re
 
+from rollcall.catalog import stated
 from rollcall.catalog.oracle import metric_sql, metric_statement, statement, two_day_anchors
-from rollcall.catalog.queries import RETAIL_TESTS
-from rollcall.plans.declared import TABLE_TESTS
-from rollcall.plans.governance import NOT_MEASURES, WAIVERS
 from rollcall.plans.metrics import METRICS
-from rollcall.sources.contracts import CONTRACTS
 
 _PLACE = "city country region timezone has_missing_timezone:b"
 _DESKS = "delivered_workstations:i allocated_workstations:i free_sharing_workstations:i"
@@ -57,10 +54,6 @@ _RELATION_OF = {
 _LAYER_OF = {"stg": "staging", "int": "intermediate", "dim": "marts", "fct": "marts"}
 
 
-def _quoted(values) -> str:
-    return ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
-
-
 def _layer_counts() -> str:
     parts = [
         f"select '{_LAYER_OF.get(n.split('_')[0], 'raw')}' as layer, '{n}' as \"table\", "
@@ -70,81 +63,57 @@ def _layer_counts() -> str:
     return " union all ".join(parts)
 
 
-def _tests(declared, relation_of) -> str:
+def _value(text: str) -> str:
+    return text if text.lstrip("-").isdigit() else f"'{text}'"
+
+
+def _tests(stated: str, relation_of) -> str:
+    """One count for each stated test of a table."""
     parts = []
-    for name, tests in declared.items():
-        rel = relation_of(name)
-
-        def row(column: str, test: str, count: str) -> None:
-            parts.append(
-                f"select '{name}' as \"table\", '{column}' as \"column\", '{test}' as test, "
-                f"({count}) as violations"
-            )
-
-        for c in tests.not_null:
-            row(c, "not_null", f"select count(*) from {rel} where {c} is null")
-        for c, values in tests.accepted:
-            row(
-                c,
-                "accepted_values",
-                f"select count(*) from {rel} where {c} not in ({_quoted(values)})",
-            )
-        for c in tests.unique:
-            row(
-                c,
-                "unique",
-                f"select count(*) from (select {c} from {rel} where {c} is not null "
-                f"group by {c} having count(*) > 1)",
-            )
-        for c, other, key in tests.refers:
-            row(
-                c,
-                "relationships",
-                f"select count(*) from {rel} where {c} is not null and {c} not in "
-                f"(select {key} from {relation_of(other)} where {key} is not null)",
-            )
+    for table, column, test, *rest in map(str.split, stated.strip().splitlines()):
+        rel = relation_of(table)
+        if test == "not_null":
+            count = f"select count(*) from {rel} where {column} is null"
+        elif test == "accepted_values":
+            allowed = ", ".join(map(_value, rest[0].split(",")))
+            count = f"select count(*) from {rel} where {column} not in ({allowed})"
+        elif test == "unique":
+            count = f"select count(*) from (select count(*) as n from {rel} where {column} is not null group by {column}) where n > 1"
+        else:
+            other, key = rest
+            count = f"select count({column}) from {rel} anti join {relation_of(other)} o on o.{key} = {rel}.{column}"
+        parts.append(f"select '{table}' as \"table\", '{column}' as \"column\", '{test}' as test, ({count}) as violations")
     return " union all ".join(parts)
 
 
 def _contract_rows() -> str:
-    """Counts of each contract rule over the derived feeds (types are declared, so uncast)."""
+    """Counts of each stated contract rule over the derived feeds (types are declared, so uncast)."""
     parts = []
-    for feed, contract in CONTRACTS.items():
-        rel = _RELATION_OF[feed]
-
-        def row(column: str, rule: str, where: str) -> None:
-            parts.append(
-                f"select '{feed}' as feed, '{column}' as \"column\", '{rule}' as rule, "
-                f"(select count(*) from {rel} where {where}) as violations"
-            )
-
-        for f in contract.fields:
-            kind = {"timestamp_ntz": "timestamp", "string": "varchar"}.get(f.type, f.type)
-            row(f.name, "type", f"{f.name} is not null and try_cast({f.name} as {kind}) is null")
-            if not f.nullable:
-                row(f.name, "not_null", f"{f.name} is null")
-            if f.domain:
-                row(f.name, "domain", f"{f.name} not in ({_quoted(f.domain)})")
-            limits = [
-                f"{f.name} {op} {limit}"
-                for op, limit in (("<=", f.above), ("<", f.at_least), (">", f.at_most))
-                if limit is not None
-            ]
-            if limits:
-                row(f.name, "range", " or ".join(limits))
-        if contract.grain:
-            keys = ", ".join(contract.grain)
-            parts.append(
-                f"select '{feed}', '{'+'.join(contract.grain)}', 'unique', (select count(*) from "
-                f"(select {keys} from {rel} group by {keys} having count(*) > 1))"
-            )
+
+    def row(feed: str, column: str, rule: str, count: str) -> None:
+        parts.append(f"select '{feed}' as feed, '{column}' as \"column\", '{rule}' as rule, ({count}) as violations")
+
+    for feed, column, kind, null, domain, limits in map(str.split, stated.CONTRACT_COLUMNS.strip().splitlines()):
+        held = f"select count(*) from {_RELATION_OF[feed]} where"
+        kind = {"timestamp_ntz": "timestamp", "string": "varchar"}.get(kind, kind)
+        row(feed, column, "type", f"{held} {column} is not null and try_cast({column} as {kind}) is null")
+        if null == "-":
+            row(feed, column, "not_null", f"{held} {column} is null")
+        if domain != "-":
+            row(feed, column, "domain", f"{held} {column} not in ({', '.join(map(_value, domain.split(',')))})")
+        if limits != "-":
+            row(feed, column, "range", f"{held} " + " or ".join(f"{column} {x}" for x in limits.split("|")))
+    for feed, *keys in map(str.split, stated.GRAINS.strip().splitlines()):
+        of = ", ".join(keys)
+        count = f"select count(*) from (select {of} from {_RELATION_OF[feed]} group by {of} having count(*) > 1)"
+        row(feed, "+".join(keys), "unique", count)
     return " union all ".join(parts)
 
 
 def _audit() -> str:
     """Profile of the numeric columns of the two facts, next to literal claims and waivers."""
-    claimed = [(c, m.name) for m in METRICS.values() for c in m.claims]
-    waived = [c for w in WAIVERS for c in w.columns]
+    claimed = [(c, m) for c, *of in map(str.split, stated.CLAIMS.strip().splitlines()) for m in of]
+    waived = stated.WAIVED.split()
     claims = ", ".join(f"('{c}', '{m}')" for c, m in claimed)
     waivers = ", ".join(f"('{c}')" for c in waived)
     columns = {
@@ -164,7 +133,7 @@ def _audit() -> str:
         f"min({c})::double as lowest, max({c})::double as highest from {_RELATION_OF[model]}"
         for model, names in columns.items()
         for c in names
-        if c not in NOT_MEASURES
+        if c not in stated.KEYS.split()
     )
     return (
         f'select p.model, p.col as "column", n as "rows", filled as non_null, lowest, highest, '
@@ -668,10 +637,10 @@ ORACLES: dict[str, str] = {
     "q_contract_violations": statement('feed "column" rule violations:i', _contract_rows()),
     "q_contract_orders": statement('feed "column" rule violations:i', _ORDERS_CONTRACT),
     "q_generic_tests": statement(
-        '"table" "column" test violations:i', _tests(TABLE_TESTS, _RELATION_OF.__getitem__)
+        '"table" "column" test violations:i', _tests(stated.TESTS, _RELATION_OF.__getitem__)
     ),
     "q_generic_tests_retail": statement(
-        '"table" "column" test violations:i', _tests(RETAIL_TESTS, str)
+        '"table" "column" test violations:i', _tests(stated.RETAIL_TESTS, str)
     ),
     "q_dq_freshness": statement(_RESULT, "checks_freshness"),
     "q_dq_integrity": statement(_RESULT, "checks_integrity"),
