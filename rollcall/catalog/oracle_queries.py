@@ -437,6 +437,39 @@ select 'attendance_rate_drift' as name, 'distribution_drift' as category, 'warn'
            having sum(attendance_expected_days) between 1 and 19)) as left_out
 """
 
+_DETAILS = """
+select 'active_after_termination' as name, m as measure, n as amount
+from (select count(distinct (emp_id, term_date)) as people, count(*) as n_rows from hr
+      where is_post_exit and employment_status_reported = 'active'),
+     lateral (values ('employees', people), ('rows', n_rows)) as v(m, n)
+union all
+select 'tap_after_termination', m, n
+from (select count(*) as taps, count(distinct emp_id) as people from late_badges),
+     lateral (values ('taps_after_termination_any', taps), ('employees_after_termination_any', people),
+                     ('grace_days', 7)) as v(m, n)
+union all
+select 'missing_workplace_timezone', 'desks', coalesce(sum(delivered_workstations), 0) from dim_site where has_missing_timezone
+union all
+select 'attendance_rate_drift', m, n
+from (select (select count(distinct local_date) from rates) as days, coalesce(len(base), 0) as earlier, coalesce(len(late), 0) as latest from split_),
+     lateral (values ('days_available', days), ('recent_days', least(28, days // 2)), ('baseline_observations', earlier),
+         ('buckets', least(10, greatest(least(earlier, latest) // 8, 2))), ('city_days_left_out', (select count(*) from (
+             select 1 from attendance where city is not null group by local_date, city
+             having sum(attendance_expected_days) between 1 and 19)))) as v(m, n)
+union all
+select 'reconcile_' || w, m, n
+from (values ('attendance_count', (select count(*) from (select distinct emp_id, business_date from tap)),
+              (select sum(attendance_daily) from attendance)),
+             ('headcount_days', (select count(*) from hr where not (is_post_exit or is_pre_hire)),
+              (select sum(headcount_incumbent) from attendance)),
+             ('delivered_workstations', (select sum(delivered_workstations) from space),
+              (select sum(delivered_workstations) from dim_site))) as p(w, a, b),
+     lateral (values ('staging', a), ('marts', b)) as v(m, n)
+union all
+select 'volume_' || feed, 'peers', count(*) filter (d < last and isodow(d) = isodow(last))
+from (select *, max(d) over (partition by feed) as last from daily_volume) group by feed
+"""
+
 _FINDINGS = """
 select 'malformed_claim' as finding, 'fct_attendance_daily' as model, '' as "column", null as "rows", null as non_null
 union all select 'unknown_model', 'fct_badges', 'taps', null, null
@@ -652,6 +685,7 @@ ORACLES: dict[str, str] = {
     "q_dq_samples": statement('"check" emp_id "rows":i', _SAMPLES),
     "q_dq_samples_planted": statement('"check" position:i key "rows":i', _SAMPLES_PLANTED),
     "q_dq_drift_planted": statement(f"{_RESULT} left_out:f", _DRIFT_PLANTED),
+    "q_dq_details": statement("name measure amount:f", _DETAILS),
     "q_audit_findings": statement('finding model "column" "rows":i non_null:i', _FINDINGS),
     "q_metric_ordered": statement(
         "period:d city region attendance_daily:f position:i",

@@ -355,6 +355,20 @@ def samples_planted(spark, sf):
     return quality.worst_offenders(Estate(spark, tables | {n: e[n] for n in whole}, e.settings))
 
 
+def check_details(spark, sf):
+    """The numbers behind the checks, one row each."""
+    e = estate(spark, sf).settle(*SHARED)
+    names = (
+        "active_after_termination",
+        "tap_after_termination",
+        "missing_workplace_timezone",
+        "attendance_rate_drift",
+        "reconciliation",
+        "volume",
+    )
+    return quality.run_checks(e, names).select("name", F.explode("details").alias("measure", "amount"))
+
+
 def drift_planted(spark, sf):
     """Drift that can't be measured: of each city the days before the middle have one and the same rate."""
     e = estate(spark, sf)
@@ -648,6 +662,7 @@ MODELS: dict[str, Query] = {
     "q_dq_samples": quality_samples,
     "q_dq_samples_planted": samples_planted,
     "q_dq_drift_planted": drift_planted,
+    "q_dq_details": check_details,
     "q_audit_findings": findings_planted,
     "q_metric_ordered": metric_ordered,
     "q_table_tests_planted": table_tests_planted,
