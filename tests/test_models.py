@@ -48,6 +48,16 @@ STANDALONE = [
     "q_metric_seat_demand_absolute",
     "q_metric_composite_no_keys",
     "q_landed_days",
+    "q_landed_days_planted",
+    "q_affected_days",
+    "q_day_range_waste",
+    "q_audit_findings",
+    "q_metric_ordered",
+    "q_table_tests_planted",
+    "q_dq_drift_planted",
+    "q_dq_samples_planted",
+    "q_dq_details",
+    "q_recall",
 ]
 
 
