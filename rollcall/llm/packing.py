@@ -29,6 +29,8 @@ END = np.array([1], "<u4").tobytes()
 #: Tokens held by a task before it packs, and tokens of a step group.
 BLOCK_TOKENS = 2 << 20
 GROUP_TOKENS = 1 << 17
+#: Pieces and words whose ids a worker keeps between tasks.
+KEPT_PIECES, KEPT_WORDS = 150_000, 100_000
 #: Bits of a sequence_id below the number of the task.
 LOCAL_BITS = 36
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
@@ -36,8 +38,10 @@ PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 
 @lru_cache(maxsize=2)
 def _words_of_worker(path: str) -> WordIds:
-    """One tokenizer, with its caches, for all tasks of a worker."""
-    return WordIds(path)
+    """One tokenizer, with its caches, for all tasks of a worker; they stay, so they are smaller than a task's own."""
+    words = WordIds(path)
+    words.piece.most, words.word.most = KEPT_PIECES, KEPT_WORDS
+    return words
 
 
 class Packer:
