@@ -50,7 +50,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_caches=True)
 
 
 def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
