@@ -5,11 +5,12 @@ the corpus holds, so that what is learnt grows with it. Discounted counts are in
 arc carries the whole probability of a kept n-gram, a failure arc the weight left for the rest. Every history's
 probabilities therefore sum to the base model's total.
 
-The model as a whole is a distributed table of n-grams with their totals and, for histories, what their arcs take.
-Documents are dealt to blocks of bounded size by a hash. A block sends its counts of distinct words and n-grams and gets
-back the totals of those of its own words that other blocks know too (words that it alone holds it counts itself) and of
-those of its own n-grams that are kept: all arcs its texts can take. From these it builds its part of the automaton,
-and one pass from left to right scores each text. Words and n-grams are told apart by 64-bit hashes.
+Documents are dealt to blocks of bounded size by a hash, and hashes of words and n-grams to ranges. Each block sends each
+range one packed row of its distinct n-grams with their counts; whatever the word, a block names it once, so no range
+outgrows the others. A range adds up, and answers with totals of words and of kept n-grams in the order they were asked.
+Each kept n-gram is accounted to its history by one of the blocks that hold it; ranges add up what all arcs of a history
+take. From the answers, which are all arcs its texts can take, a block builds its part of the automaton, and one pass from
+left to right scores each text. Words and n-grams are told apart by 64-bit hashes.
 
 Defined results: a null or empty text is the end token alone. A null doc_id isn't learnt from and counts as held out.
 Each row is a document, so repeated rows are learnt from as often as they stand there and are scored each. An empty
@@ -24,11 +25,21 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Observation
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.shared import GOLDEN, Scratch, SplitTexts, ascii_lower, crc_mod, mixed, only, runs_hashed, signed
+from rollcall.llm.shared import (
+    GOLDEN,
+    Scratch,
+    SplitTexts,
+    ascii_lower,
+    crc_mod,
+    mixed,
+    only,
+    runs_hashed,
+    shuffles_released,
+    signed,
+)
 
 FOLDS = 10
 SMOOTHING = 0.1
@@ -37,6 +48,8 @@ ORDER = 2
 #: Least training count of an n-gram that becomes a state or arc, and so of the words in it.
 LEAST = 2
 BLOCK_CHARS = 2 << 20
+#: Characters of the corpus for each range of hashes.
+RANGE_CHARS = 16 << 20
 #: Hashes that stand for the begin and the end of a text, and the begin's word id.
 START_KEY, END_KEY = mixed(np.array([1, 2], np.uint64) * GOLDEN)
 START_HASH, END_HASH = signed(np.array([START_KEY, END_KEY])).tolist()
@@ -69,24 +82,155 @@ def _runs(keys: np.ndarray, owner: np.ndarray, size: int) -> tuple[np.ndarray, n
     return runs_hashed(keys, size)[at], at
 
 
-def _counting(order: int):
-    def count(key: tuple, group: pa.Table) -> pa.Table:
-        """(block, size, gram, history, n): training counts of the distinct n-grams of a block up to `order` words, the
-        begins and ends of texts among them, and the hash of all but the last word; 0 for those held out only."""
-        keys, owner = _sequences(group.column("text").to_pylist())
-        learnt = group.column("learnt").to_numpy()[owner]
-        parts, shorter = [], np.zeros(len(keys), np.uint64)
-        for size in range(1, order + 1):
-            hashes, at = _runs(keys, owner, size)
-            grams, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-            n = np.bincount(which, weights=learnt[at], minlength=len(grams)).astype(np.int64)
-            parts.append((np.full(len(grams), size, np.int32), signed(grams), signed(shorter[at][first]), n))
-            shorter = np.zeros(len(keys), np.uint64)
-            shorter[at] = hashes
-        sizes, grams, histories, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return pa.table({"block": np.full(len(n), key[0].as_py()), "size": sizes, "gram": grams, "history": histories, "n": n})
+@dataclass
+class _Grams:
+    """The distinct runs of one size in a block: hashes in order, a place of each, and the run at every token that opens
+    one (`at`, `which`)."""
+
+    hashes: np.ndarray
+    first: np.ndarray
+    at: np.ndarray
+    which: np.ndarray
+
+
+def _grams(keys: np.ndarray, owner: np.ndarray, order: int) -> list[_Grams]:
+    made = []
+    for size in range(1, order + 1):
+        hashes, at = _runs(keys, owner, size)
+        grams, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        made.append(_Grams(grams, at[first], at, which))
+    return made
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Whole numbers of 0 or more as bytes, those of like weight together, compressed."""
+    planes = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(4, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:4], "little")
+    planes = np.frombuffer(pa.decompress(raw[4:], 8 * n, "zstd", asbytes=True), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _by_range(hashes: np.ndarray, ranges: int) -> list[tuple[int, slice]]:
+    """The parts of ordered hashes that lie in each range of hashes, empty ones left out."""
+    held, begin = np.unique((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), return_index=True)
+    return [(r, slice(b, e)) for r, b, e in zip(held.tolist(), begin.tolist(), [*begin[1:].tolist(), len(hashes)], strict=True)]
+
+
+ASKED = pa.schema([(c, pa.int64()) for c in ("range", "block", "size")] + [(c, pa.binary()) for c in ("grams", "n")])
+COUNTED = pa.schema([(c, pa.int64()) for c in ("range", "block", "size", "tokens", "distinct")] + [(c, pa.binary()) for c in ("totals", "ours")])
+SPENT = pa.schema([(c, pa.int64()) for c in ("range", "block", "size")] + [(c, pa.binary()) for c in ("grams", "taken", "arcs")])
+MASSES = pa.schema([(c, pa.int64()) for c in ("range", "block", "size")] + [(c, pa.binary()) for c in ("taken", "arcs")])
 
-    return count
+
+def _ddl(schema: pa.Schema) -> str:
+    return ", ".join(f"`{f.name}` {'binary' if pa.types.is_binary(f.type) else 'long'}" for f in schema)
+
+
+def _asking(order: int, ranges: int):
+    def ask(key: tuple, docs: pa.Table) -> pa.Table:
+        """A block's distinct runs up to `order` words and how often its learnt texts hold each (0: held out only)."""
+        keys, owner = _sequences(docs.column("text").to_pylist())
+        learnt = docs.column("learnt").to_numpy()[owner]
+        rows = []
+        for size, g in enumerate(_grams(keys, owner, order), 1):
+            n = np.bincount(g.which, weights=learnt[g.at], minlength=len(g.hashes)).astype(np.uint64)
+            rows += [(r, key[0].as_py(), size, _packed(g.hashes[s]), _packed(n[s])) for r, s in _by_range(g.hashes, ranges)]
+        return _table(rows, ASKED)
+
+    return ask
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
+    return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+def _asked(group: pa.Table):
+    """By size: the blocks that ask one range, where each one's part begins and ends, and all their runs."""
+    for size in sorted(set(group.column("size").to_pylist())):
+        rows = group.filter(pc.equal(group.column("size"), size))
+        grams = [_unpacked(x) for x in rows.column("grams").to_pylist()]
+        edges = np.cumsum([0, *map(len, grams)])
+        parts = [(b, slice(x, y)) for b, x, y in zip(rows.column("block").to_pylist(), edges[:-1], edges[1:], strict=True)]
+        yield size, rows, parts, np.concatenate(grams)
+
+
+def _counted(key: tuple, group: pa.Table) -> pa.Table:
+    """Answers each block with the corpus totals of its words and of its runs that are kept (0: not kept), and marks the
+    kept runs that it alone has to account to their histories. Tokens and distinct words stand in one row of a range."""
+    rows = []
+    for size, asked, parts, grams in _asked(group):
+        n = np.concatenate([_unpacked(x) for x in asked.column("n").to_pylist()])
+        found, first, which = np.unique(grams, return_index=True, return_inverse=True)
+        total = np.bincount(which, weights=n, minlength=len(found)).astype(np.uint64)
+        words = total[found != START_KEY] if size == 1 else total[:0]
+        if size > 1:
+            total[total < LEAST] = 0
+        ours = np.zeros(len(grams), bool)
+        ours[first[total > 0]] = size > 1
+        told = total[which]
+        sums = [(int(words.sum()), int((words > 0).sum()))] + [(0, 0)] * (len(parts) - 1)
+        rows += [
+            (key[0].as_py(), block, size, *s, _packed(told[at]), np.packbits(ours[at]).tobytes())
+            for (block, at), s in zip(parts, sums, strict=True)
+        ]
+    return _table(rows, COUNTED)
+
+
+def _answers(table: pa.Table, column: str, size: int) -> list[bytes]:
+    """What the ranges answered a block on one size, in the order of its runs."""
+    rows = table.filter(pc.equal(table.column("size"), size)).select(["range", column])
+    return [x["x"] for x in rows.filter(pc.is_valid(rows.column(column))).rename_columns(["r", "x"]).sort_by("r").to_pylist()]
+
+
+def _numbers(table: pa.Table, column: str, size: int) -> np.ndarray:
+    return np.concatenate([np.empty(0, "<u8"), *map(_unpacked, _answers(table, column, size))])
+
+
+def _spending(order: int, ranges: int):
+    def spend(key: tuple, docs: pa.Table, counted: pa.Table) -> pa.Table:
+        """What the arcs that a block accounts for take of their histories, and for which histories it asks."""
+        keys, owner = _sequences(docs.column("text").to_pylist())
+        grams = _grams(keys, owner, order)
+        rows = []
+        for size in range(1, order):
+            histories, longer = grams[size - 1], grams[size]
+            bits = [np.unpackbits(np.frombuffer(x, np.uint8)) for x in _answers(counted, "ours", size + 1)]
+            totals = [_unpacked(x) for x in _answers(counted, "totals", size + 1)]
+            if not len(histories.hashes):
+                continue
+            place = np.zeros(len(keys), np.int64)
+            place[histories.at] = histories.which
+            ours = np.concatenate([np.empty(0, bool), *(b[: len(t)].astype(bool) for b, t in zip(bits, totals, strict=True))])
+            total = np.concatenate([np.empty(0, "<u8"), *totals])
+            of = place[longer.first[ours]]
+            taken = np.bincount(of, weights=total[ours], minlength=len(histories.hashes)).astype(np.uint64)
+            arcs = np.bincount(of, minlength=len(histories.hashes)).astype(np.uint64)
+            wanted = _numbers(counted, "totals", size) >= LEAST
+            hashes, taken, arcs = histories.hashes[wanted], taken[wanted], arcs[wanted]
+            rows += [
+                (r, key[0].as_py(), size, *(_packed(x[s]) for x in (hashes, taken, arcs))) for r, s in _by_range(hashes, ranges)
+            ]
+        return _table(rows, SPENT)
+
+    return spend
+
+
+def _summed(key: tuple, group: pa.Table) -> pa.Table:
+    """Answers each block with what all arcs of its histories take."""
+    rows = []
+    for size, asked, parts, grams in _asked(group):
+        found, which = np.unique(grams, return_inverse=True)
+        sums = []
+        for column in ("taken", "arcs"):
+            values = np.concatenate([_unpacked(x) for x in asked.column(column).to_pylist()])
+            sums.append(np.bincount(which, weights=values, minlength=len(found)).astype(np.uint64)[which])
+        rows += [(key[0].as_py(), block, size, *(_packed(x[at]) for x in sums)) for block, at in parts]
+    return _table(rows, MASSES)
 
 
 @dataclass
@@ -192,9 +336,9 @@ def automaton(
     return made
 
 
-def _part(base: Base, keys: np.ndarray, owner: np.ndarray, words: np.ndarray, counts: np.ndarray, totals: pa.Table, order: int) -> Automaton:
-    """The states and arcs that the texts of a block can take. `words` are its distinct hashes in order, `counts` their
-    training counts; `totals` (size, gram, total, taken, arcs) holds its kept n-grams and what histories' arcs take."""
+def _part(base: Base, keys: np.ndarray, grams: list[_Grams], told: pa.Table) -> Automaton:
+    """The states and arcs that the texts of a block can take, from its runs and what the ranges told of them."""
+    words, counts = grams[0].hashes, _numbers(told, "totals", 1)
     in_alphabet = (counts >= LEAST) & (words != START_KEY)
     names = signed(words[in_alphabet])
     alphabet = dict(zip(names.tolist(), counts[in_alphabet].tolist(), strict=True))
@@ -203,32 +347,27 @@ def _part(base: Base, keys: np.ndarray, owner: np.ndarray, words: np.ndarray, co
     def ids(places: np.ndarray) -> np.ndarray:
         return np.where(keys[places] == START_KEY, START, np.searchsorted(names, signed(keys[places])))
 
-    sizes, grams, n, taken, arcs = (totals.column(c).to_numpy() for c in ("size", "gram", "total", "taken", "arcs"))
     kept, masses = {}, {}
-    for size in range(1, order + 1):
-        of = sizes == size
-        hashes, at = _runs(keys, owner, size)
-        found, first = np.unique(signed(hashes), return_index=True)
-        place = np.searchsorted(found, grams[of])
-        at = at[first[place]]
-        named = list(zip(*(ids(at + i).tolist() for i in range(size)), strict=True))
+    for size, g in enumerate(grams, 1):
+        totals = _numbers(told, "totals", size)
+        held = np.flatnonzero(totals >= LEAST)
+        named = list(zip(*(ids(g.first[held] + i).tolist() for i in range(size)), strict=True))
         if size > 1:
-            kept.update(zip(named, n[of].tolist(), strict=True))
-        mass = (taken[of] - DISCOUNT * arcs[of]).tolist()
-        masses.update((named[i], mass[i]) for i in np.flatnonzero(arcs[of]).tolist())
+            kept.update(zip(named, totals[held].tolist(), strict=True))
+        if size < len(grams):
+            taken, arcs = _numbers(told, "taken", size).astype(float), _numbers(told, "arcs", size).astype(float)
+            mass = (taken - DISCOUNT * arcs).tolist()
+            masses.update((named[i], mass[i]) for i in np.flatnonzero(arcs).tolist())
     starts = counts[words == START_KEY]
     return automaton(base, alphabet, int(starts[0]) if len(starts) else 0, kept, masses)
 
 
 def _scoring(base: Base, order: int):
-    def score(key: tuple, docs: pa.Table, totals: pa.Table) -> pa.Table:
+    def score(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
         keys, owner = _sequences(docs.column("text").to_pylist())
-        learnt = docs.column("learnt").to_numpy()
-        words, which = np.unique(keys, return_inverse=True)
-        counts = np.bincount(which, weights=learnt[owner], minlength=len(words)).astype(np.int64)
-        known = totals.filter(pc.equal(totals.column("size"), 1))
-        counts[np.searchsorted(words, known.column("gram").to_numpy().view(np.uint64))] = known.column("total").to_numpy()
-        model = _part(base, keys, owner, words, counts, totals, order)
+        grams = _grams(keys, owner, order)
+        words, which, counts = grams[0].hashes, grams[0].which, _numbers(told, "totals", 1).astype(np.int64)
+        model = _part(base, keys, grams, told)
         logs = {c: base.log(c) for c in set(counts.tolist())}
         entry = [(model.ids.get(h, -1), logs[c]) for h, c in zip(signed(words).tolist(), counts.tolist(), strict=True)]
         begin = np.flatnonzero(keys == START_KEY)
@@ -261,28 +400,16 @@ def scored(docs: DataFrame, order: int = ORDER) -> DataFrame:
     scratch = Scratch(spark)
     chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(chars / BLOCK_CHARS))
+    ranges = max(1, math.ceil(chars / RANGE_CHARS))
     rows = dealt(docs, blocks)
-    counts = rows.groupBy("block").applyInArrow(_counting(order), "block long, size int, gram long, history long, n long")
-    same = W.partitionBy("gram", "size")
-    counts = counts.withColumns(
-        {"total": F.sum("n").over(same), "held": F.count(F.lit(1)).over(same), "first": F.min("block").over(same) == F.col("block")}
-    )
-    seen = Observation()
-    word = (F.col("size") == 1) & (F.col("gram") != START_HASH)
-    counts = counts.observe(
-        seen,
-        F.sum(F.when(word, F.col("n"))).alias("tokens"),
-        F.count_if(word & F.col("first") & (F.col("total") > 0)).alias("distinct"),
-    )
-    sent = F.when(F.col("size") == 1, (F.col("held") > 1) | (F.col("total") > 1)).otherwise(F.col("total") >= LEAST)
-    totals = scratch.put(counts.where(sent).select("block", "size", "gram", "history", "total", "first"), "totals")
-    base = Base(seen.get["tokens"] or 0, seen.get["distinct"] or 0)
-    follow = totals.where("first and size > 1").groupBy((F.col("size") - 1).alias("size"), F.col("history").alias("gram"))
-    follow = follow.agg(F.sum("total").alias("taken"), F.count(F.lit(1)).alias("arcs"))
-    columns = ("block", "size", "gram", "total", "taken", "arcs")
-    none = F.lit(0).cast("long")
-    histories = totals.where(F.col("size") < order).join(follow, ["size", "gram"], "left").fillna(0, ["taken", "arcs"])
-    longest = totals.where(F.col("size") == order).withColumns({"taken": none, "arcs": none})
-    totals = histories.select(*columns).union(longest.select(*columns))
+    with shuffles_released(spark):
+        asked = rows.groupBy("block").applyInArrow(_asking(order, ranges), _ddl(ASKED))
+        counted = scratch.put(asked.groupBy("range").applyInArrow(_counted, _ddl(COUNTED)), "counted")
+        tokens, distinct = counted.agg(F.sum("tokens"), F.sum("distinct")).first()
+        own = counted.select("range", "block", "size", "totals", "ours").groupBy("block")
+        spent = rows.groupBy("block").cogroup(own).applyInArrow(_spending(order, ranges), _ddl(SPENT))
+        masses = scratch.put(spent.groupBy("range").applyInArrow(_summed, _ddl(MASSES)), "masses")
+    told = counted.select("range", "block", "size", "totals").unionByName(masses, allowMissingColumns=True)
+    base = Base(tokens or 0, distinct or 0)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return rows.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(_scoring(base, order), schema)
+    return rows.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_scoring(base, order), schema)

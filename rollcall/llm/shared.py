@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -68,6 +69,18 @@ class Scratch:
             self._fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path), True)
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Tables written within leave no shuffle files behind: nothing reads those again once a table stands."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def ascii_lower(text: str) -> bytes:
     """UTF-8 bytes with only A-Z lowered."""
     return text.encode("utf-8", "replace").lower()

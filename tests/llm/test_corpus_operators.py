@@ -256,6 +256,7 @@ def test_language_model(docs, rows, empty):
 def test_language_model_keeps_rare_ngrams(spark, monkeypatch, order):
     """All n-grams seen twice are kept among 150,000 tokens, counted by plain loops."""
     monkeypatch.setattr(language_model, "BLOCK_CHARS", 200_000)
+    monkeypatch.setattr(language_model, "RANGE_CHARS", 300_000)
     rng = np.random.default_rng(3)
     texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, 2500) % 30_000) for _ in range(60)]
     learnt = [i for i in range(60) if zlib.crc32(str(i).encode()) % 10]
