@@ -20,7 +20,7 @@ table gives no rows. Extra columns are ignored.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +38,6 @@ from rollcall.llm.shared import (
     only,
     runs_hashed,
     shuffles_released,
-    signed,
 )
 
 FOLDS = 10
@@ -50,10 +49,10 @@ LEAST = 2
 BLOCK_CHARS = 2 << 20
 #: Characters of the corpus for each range of hashes.
 RANGE_CHARS = 16 << 20
-#: Hashes that stand for the begin and the end of a text, and the begin's word id.
+#: Words of a stream that one of the walks side by side reads.
+PIECE = 128
+#: Hashes that stand for the begin and the end of a text.
 START_KEY, END_KEY = mixed(np.array([1, 2], np.uint64) * GOLDEN)
-START_HASH, END_HASH = signed(np.array([START_KEY, END_KEY])).tolist()
-START = -2
 
 
 def dealt(docs: DataFrame, blocks: int) -> DataFrame:
@@ -235,33 +234,54 @@ def _summed(key: tuple, group: pa.Table) -> pa.Table:
 
 @dataclass
 class Automaton:
-    """State 0 is the root, state i + 1 the alphabet's word i, later states longer histories; words that aren't in the
-    alphabet lead to the root with their base probability."""
-
-    ids: dict[int, int]
-    arcs: dict[tuple[int, int], tuple[int, float]] = field(default_factory=dict)
-    failures: list[tuple[int, float]] = field(default_factory=list)
-    start: int = 0
-
-    def score(self, words: list[tuple[int, float]]) -> float:
-        """The log10 probability of a text of (word id or -1, base log10 probability)."""
-        arcs, failures, state, total = self.arcs, self.failures, self.start, 0.0
-        for word, base in words:
-            if word < 0:
-                while state:
-                    state, weight = failures[state]
-                    total += weight
-                total += base
-                continue
-            while (arc := arcs.get((state, word))) is None:
-                if not state:
-                    arc = (word + 1, base)
-                    break
-                state, weight = failures[state]
-                total += weight
-            state = arc[0]
-            total += arc[1]
-        return total
+    """States are numbers, 0 the root. A state's arcs stand ordered by `state * words + word`; a word that no arc of a
+    state takes follows the state's failure, adding its weight, and is tried again, at last at the root, which takes
+    every word by `roots` and `weights`."""
+
+    words: int
+    start_word: int
+    start: int
+    roots: np.ndarray
+    weights: np.ndarray
+    keys: np.ndarray
+    targets: np.ndarray
+    arcs: np.ndarray
+    failures: np.ndarray
+    falls: np.ndarray
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states that many walks reach with one word each, and the log10 probabilities on the way."""
+        state, total = state.copy(), np.zeros(len(state))
+        left = np.flatnonzero(word != self.start_word)
+        while len(left):
+            at = np.searchsorted(self.keys, state[left] * self.words + word[left])
+            at = np.minimum(at, len(self.keys) - 1)
+            taken = (state[left] > 0) & (self.keys[at] == state[left] * self.words + word[left])
+            total[left[taken]] += self.arcs[at[taken]]
+            root = left[state[left] == 0]
+            total[root] += self.weights[word[root]]
+            fallen = left[~taken & (state[left] > 0)]
+            state[left[taken]] = self.targets[at[taken]]
+            state[root] = self.roots[word[root]]
+            total[fallen] += self.falls[state[fallen]]
+            state[fallen] = self.failures[state[fallen]]
+            left = fallen
+        state[word == self.start_word] = self.start
+        return state, total
+
+    def walk(self, word: np.ndarray, memory: int) -> np.ndarray:
+        """The log10 probability of each word of a stream of texts, read once from left to right. Pieces of the stream
+        are walked side by side; since a state rests on the last `memory` words alone, each piece starts that many
+        words early, at the root, and is then in the state of an unbroken walk."""
+        n = len(word)
+        begin = np.arange(0, n, PIECE)
+        state, out = np.zeros(len(begin), np.int64), np.zeros(n)
+        for i in range(-memory, PIECE):
+            here = np.flatnonzero((begin + i >= 0) & (begin + i < n))
+            state[here], logs = self.step(state[here], word[begin[here] + i])
+            if i >= 0:
+                out[begin[here] + i] = logs
+        return out
 
 
 class Base:
@@ -274,118 +294,87 @@ class Base:
     def log(self, count: int) -> float:
         return math.log10(count + SMOOTHING) - self.below
 
-
-def automaton(
-    base: Base,
-    alphabet: dict[int, int],
-    starts: int,
-    grams: dict[tuple[int, ...], int],
-    masses: dict[tuple[int, ...], float] | None = None,
-) -> Automaton:
-    """From counts of the alphabet's words (by hash) and of kept n-grams over word ids; START opens a text. `masses` are
-    the discounted counts of all n-grams that follow a history, where `grams` are only some of them."""
-    words = sorted(alphabet)
-    ids = {w: i for i, w in enumerate(words)}
-    count = {(i,): alphabet[w] for i, w in enumerate(words)} | {(START,): starts}
-    made = Automaton(ids)
-    state = {(): 0} | {(i,): i + 1 for i in range(len(words))} | {(START,): len(words) + 1}
-    made.failures = [(0, 0.0)] * (len(words) + 2)
-    made.start = state[(START,)]
-    end = ids.get(END_HASH, -1)
-    by_history: dict[tuple, list] = {}
-    for gram, n in grams.items():
-        count[gram] = n
-        by_history.setdefault(gram[:-1], []).append((gram[-1], n))
-    if masses is None:
-        masses = {h: sum(n - DISCOUNT for _, n in following) for h, following in by_history.items()}
-    histories = sorted(masses, key=lambda h: (len(h), h))
-    for history in histories:
-        if len(history) > 1 and history in count:
-            state[history] = len(made.failures)
-            made.failures.append((0, 0.0))
-    probability = {(i,): 10 ** base.log(alphabet[w]) for i, w in enumerate(words)}
-
-    def of(history: tuple, word: int) -> float:
-        """Probability of a word after a history, through the histories that have states."""
-        if not history:
-            return probability[(word,)]
-        if (p := probability.get((*history, word))) is not None:
-            return p
-        return left.get(history, 1.0) * of(history[1:], word)
-
-    left: dict[tuple, float] = {}
-    for history in histories:
-        if history not in state or not count.get(history):
-            continue
-        total = count[history]
-        left[history] = 1 - masses[history] / total
-        for word, n in by_history.get(history, ()):
-            probability[(*history, word)] = (n - DISCOUNT) / total + left[history] * of(history[1:], word)
-
-    def longest(gram: tuple) -> int:
-        while gram not in state:
-            gram = gram[1:]
-        return state[gram]
-
-    for history, at in state.items():
-        if history:
-            made.failures[at] = (longest(history[1:]), math.log10(left[history]) if history in left else 0.0)
-    for gram, p in probability.items():
-        if len(gram) > 1:
-            made.arcs[(state[gram[:-1]], gram[-1])] = (longest(gram if gram[-1] != end else ()), math.log10(p))
-    return made
-
-
-def _part(base: Base, keys: np.ndarray, grams: list[_Grams], told: pa.Table) -> Automaton:
-    """The states and arcs that the texts of a block can take, from its runs and what the ranges told of them."""
-    words, counts = grams[0].hashes, _numbers(told, "totals", 1)
-    in_alphabet = (counts >= LEAST) & (words != START_KEY)
-    names = signed(words[in_alphabet])
-    alphabet = dict(zip(names.tolist(), counts[in_alphabet].tolist(), strict=True))
-    names = np.sort(names)
-
-    def ids(places: np.ndarray) -> np.ndarray:
-        return np.where(keys[places] == START_KEY, START, np.searchsorted(names, signed(keys[places])))
-
-    kept, masses = {}, {}
+    def logs(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10(counts + SMOOTHING) - self.below
+
+
+def automaton(base: Base, keys: np.ndarray, grams: list[_Grams], told: pa.Table) -> Automaton:
+    """The states and arcs that the texts of a block can take, from its runs and what the ranges told of them. A word seen
+    LEAST times and the begin of a text are states, and so are longer runs that arcs leave. What is kept of a run is
+    kept of its parts, for those are seen at least as often."""
+    words, counts = grams[0].hashes, _numbers(told, "totals", 1).astype(np.int64)
+    begins, ends = words == START_KEY, words == END_KEY
+    start_word = int(np.flatnonzero(begins)[0]) if begins.any() else -1
+    weights = base.logs(counts)
+    is_state = (counts >= LEAST) & ~ends | begins
+    failures, falls, arc_keys, targets, arcs = [np.zeros(1, np.int64)], [np.zeros(1)], [], [], []
+    made, total, probability = 1, counts, 10**weights
+    target, place = np.zeros(len(words), np.int64), grams[0].which
+    state = np.zeros(0, np.int64)
+    left = np.ones(0)
     for size, g in enumerate(grams, 1):
-        totals = _numbers(told, "totals", size)
-        held = np.flatnonzero(totals >= LEAST)
-        named = list(zip(*(ids(g.first[held] + i).tolist() for i in range(size)), strict=True))
         if size > 1:
-            kept.update(zip(named, totals[held].tolist(), strict=True))
+            total = _numbers(told, "totals", size).astype(np.int64)
+            kept = np.flatnonzero(total >= LEAST)
+            before, after, word = place[g.first[kept]], place[g.first[kept] + 1], grams[0].which[g.first[kept] + size - 1]
+            longer = np.zeros(len(total))
+            longer[kept] = (total[kept] - DISCOUNT) / shorter[before] + left[before] * probability[after]
+            probability, shorter_target = longer, target
+            target = np.zeros(len(total), np.int64)
+            target[kept] = shorter_target[after]
+            fall_to = target.copy()
+            place = np.zeros(len(keys), np.int64)
+            place[g.at] = g.which
+        else:
+            fall_to = np.zeros(len(total), np.int64)
+        leaving = state
         if size < len(grams):
-            taken, arcs = _numbers(told, "taken", size).astype(float), _numbers(told, "arcs", size).astype(float)
-            mass = (taken - DISCOUNT * arcs).tolist()
-            masses.update((named[i], mass[i]) for i in np.flatnonzero(arcs).tolist())
-    starts = counts[words == START_KEY]
-    return automaton(base, alphabet, int(starts[0]) if len(starts) else 0, kept, masses)
+            spent = np.zeros(len(total))
+            held = total >= LEAST
+            n_arcs = _numbers(told, "arcs", size).astype(float)
+            spent[held] = _numbers(told, "taken", size).astype(float) - DISCOUNT * n_arcs
+            any_arc = np.zeros(len(total), bool)
+            any_arc[held] = n_arcs > 0
+            left = 1 - spent / np.maximum(total, 1)
+            of = np.flatnonzero(is_state if size == 1 else any_arc)
+            state = np.zeros(len(total), np.int64)
+            state[of] = made + np.arange(len(of))
+            made += len(of)
+            failures.append(fall_to[of])
+            falls.append(np.log10(left[of]))
+            target[of] = state[of]
+        if size > 1:
+            arc_keys.append(leaving[before] * len(words) + word)
+            targets.append(target[kept])
+            arcs.append(np.log10(probability[kept]))
+        else:
+            roots, start = target, int(target[start_word]) if begins.any() else 0
+        shorter = total
+    arc_keys, targets, arcs = (np.concatenate([x, *y]) for x, y in ((np.array([-1]), arc_keys), (np.array([0]), targets), (np.zeros(1), arcs)))
+    order = np.argsort(arc_keys, kind="stable")
+    return Automaton(
+        len(words), start_word, start, roots, weights, arc_keys[order], targets[order], arcs[order], np.concatenate(failures), np.concatenate(falls)
+    )
 
 
 def _scoring(base: Base, order: int):
     def score(key: tuple, docs: pa.Table, told: pa.Table) -> pa.Table:
         keys, owner = _sequences(docs.column("text").to_pylist())
         grams = _grams(keys, owner, order)
-        words, which, counts = grams[0].hashes, grams[0].which, _numbers(told, "totals", 1).astype(np.int64)
-        model = _part(base, keys, grams, told)
-        logs = {c: base.log(c) for c in set(counts.tolist())}
-        entry = [(model.ids.get(h, -1), logs[c]) for h, c in zip(signed(words).tolist(), counts.tolist(), strict=True)]
-        begin = np.flatnonzero(keys == START_KEY)
-        end = np.append(begin[1:], len(keys))
-        n_known, base_score, scores = [], [], []
-        for at, to in zip((begin + 1).tolist(), end.tolist(), strict=True):
-            here = which[at:to]
-            arcs = [entry[i] for i in here.tolist()]
-            n_known.append(int((counts[here] > 0).sum()))
-            base_score.append(math.fsum(b for _, b in arcs))
-            scores.append(model.score(arcs))
+        which, learnt = grams[0].which, docs.column("learnt").to_numpy()
+        model = automaton(base, keys, grams, told)
+        counts = _numbers(told, "totals", 1)
+        texts, token = len(learnt), keys != START_KEY
+        n_known = np.bincount(owner, weights=token & (counts[which] > 0), minlength=texts).astype(np.int64)
+        base_score = np.bincount(owner, weights=np.where(token, model.weights[which], 0), minlength=texts)
+        scores = np.bincount(owner, weights=model.walk(which, order - 1), minlength=texts)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
-                "held_out": pa.array([not x for x in docs.column("learnt").to_pylist()]),
-                "n_tokens": pa.array(end - begin - 1, pa.int64()),
+                "held_out": pa.array(~learnt),
+                "n_tokens": pa.array(np.bincount(owner, weights=token, minlength=texts).astype(np.int64)),
                 "n_known": pa.array(n_known, pa.int64()),
-                "train_tokens": pa.array([base.tokens] * len(begin), pa.int64()),
+                "train_tokens": pa.array([base.tokens] * texts, pa.int64()),
                 "base_score": pa.array(base_score, pa.float64()),
                 "score": pa.array(scores, pa.float64()),
             }

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -287,20 +288,23 @@ def test_language_model_keeps_rare_ngrams(spark, monkeypatch, order):
 
 
 def test_automaton_probabilities_sum_to_one():
-    base = language_model.Base(100, 3)
-    counts = {11: 50, 22: 30, language_model.END_HASH: 20}
-    ids = {w: i for i, w in enumerate(sorted(counts))}
-    a, b, end = ids[11], ids[22], ids[language_model.END_HASH]
-    start = language_model.START
-    grams = {(start, a): 12, (a, b): 20, (a, a): 15, (b, end): 10, (a, b, a): 8, (a, a, a): 5}
-    model = language_model.automaton(base, counts, 20, grams)
-    logs = {ids[w]: base.log(c) for w, c in counts.items()}
-    unseen = base.log(0)
-    for history in ((), (a,), (a, b), (b, a), (a, a)):
-        before = model.score([(w, logs[w]) for w in history])
-        total = sum(10 ** (model.score([*((w, logs[w]) for w in history), (x, logs[x])]) - before) for x in logs)
-        total += 10 ** (model.score([*((w, logs[w]) for w in history), (-1, unseen)]) - before)
-        assert math.isclose(total, 1, rel_tol=1e-9)
+    """From every state, over all words of the block and one never learnt."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(list("abcdefgh"), 30)) for _ in range(20)] + ["rare", "unlearnt", None]
+    learnt = [i < 21 for i in range(23)]
+    docs, key = pa.table({"text": pa.array(texts, pa.string()), "learnt": learnt}), (pa.scalar(0),)
+    counted = language_model._counted(key, language_model._asking(3, 1)(key, docs))
+    masses = language_model._summed(key, language_model._spending(3, 1)(key, docs, counted))
+    told = pa.concat_tables([counted.select(["range", "block", "size", "totals"]), masses], promote_options="default")
+    base = language_model.Base(sum(counted.column("tokens").to_pylist()), sum(counted.column("distinct").to_pylist()))
+    assert (base.tokens, base.distinct) == (20 * 31 + 2, 10)
+    keys, owner = language_model._sequences(texts)
+    model = language_model.automaton(base, keys, language_model._grams(keys, owner, 3), told)
+    words = np.delete(np.arange(model.words), model.start_word)
+    assert len(words) == base.distinct + 1 and len(model.failures) > 50
+    for state in range(len(model.failures)):
+        logs = model.step(np.full(len(words), state), words)[1]
+        assert math.isclose((10**logs).sum(), 1, rel_tol=1e-9)
 
 
 def test_language_id(spark, empty, sf_dir):
