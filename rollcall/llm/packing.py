@@ -36,7 +36,7 @@ PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 
 @lru_cache(maxsize=2)
 def _words_of_worker(path: str) -> WordIds:
-    """One tokenizer, with its caches, for all tasks of a worker."""
+    """One tokenizer for all tasks of a worker."""
     return WordIds(path)
 
 
@@ -134,12 +134,12 @@ def packed(
     """Pieces of the token ids of all rows of `docs` (doc_id, text), each with the end token: doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, and ids if asked for. A sequence_id holds the number
     of the task that packs it; a task that runs again reads the same rows and makes the same pieces. With `keep_caches`
-    a worker keeps its tokenizer and caches, some 250 MB, for its next tasks: faster where nothing else needs the memory."""
+    a worker keeps its caches, some 250 MB, for its next tasks: faster where nothing else needs the memory."""
     docs = only(docs, "doc_id", "text")
     schema = f"{kind_of(docs, 'doc_id')}, {PIECES}" + (", ids array<long>" if with_ids else "")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer, kinds = _words_of_worker(path) if keep_caches else WordIds(path), Packer(TaskContext.get().partitionId(), tiers), None
+        words, packer, kinds = _words_of_worker(path), Packer(TaskContext.get().partitionId(), tiers), None
         for batch in text_batches(batches):
             if kinds is None:
                 longs = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -153,6 +153,8 @@ def packed(
             if packer.out:
                 yield packer.taken(kinds)
         packer.finish()
+        if not keep_caches:
+            words.forget()
         if packer.out:
             yield packer.taken(kinds)
 
