@@ -1,10 +1,12 @@
 """Hierarchical packing of documents into windows of several context sizes.
 
-Each task packs the documents it reads, block by block, so nothing is shuffled. Whole windows are cut off long
+Each task packs the documents it reads, block by block, so no text is shuffled. Whole windows are cut off long
 documents; what is left of a document is routed to the smallest tier that holds it. Tiers are packed from the longest:
 a window opens with a piece of its own tier, and its gap is filled by the longest shorter pieces that fit, the last one
 cut where none does. Windows are therefore full; pieces left over go to the task's next block, and at its end into
-windows of falling powers of two. Step groups hold windows of one tier and the same number of tokens each.
+windows of falling powers of two. Step groups hold windows of one tier and the same number of tokens each, also across
+tasks: windows of a tier are numbered through by the counts of all tasks, and only the last group of a tier may be
+smaller. The pieces are written once for that; a join with one row per task and tier adds the numbers.
 
 Defined results: a null or empty text is the end token alone. Rows are packed one by one, so repeated rows and null
 ids are separate documents. An empty table gives no pieces. Extra columns are ignored.
@@ -19,9 +21,10 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from rollcall.llm.shared import kind_of, only, text_batches
+from rollcall.llm.shared import Scratch, kind_of, only, text_batches
 from rollcall.llm.vocabulary import WordIds
 
 TIERS = (256, 512, 1024, 2048)
@@ -31,7 +34,7 @@ BLOCK_TOKENS = 2 << 20
 GROUP_TOKENS = 1 << 17
 #: Bits of a sequence_id below the number of the task.
 LOCAL_BITS = 36
-PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
+PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, place long"
 
 
 @lru_cache(maxsize=2)
@@ -108,13 +111,13 @@ class Packer:
 
     def _window(self, pieces: list[tuple], size: int) -> None:
         sequence = (self.task << LOCAL_BITS) + self.windows
-        group = (self.task << LOCAL_BITS) + ((self.of_tier[size] // (GROUP_TOKENS // size)) << 4) + size.bit_length()
+        place = self.of_tier[size]
         self.windows += 1
         self.of_tier[size] += 1
         offset = 0
         for doc, start, ids, total in pieces:
             n = len(ids) // 4
-            self.out.append((doc, start, n, crc32(ids), total, sequence, offset, size, group, ids))
+            self.out.append((doc, start, n, crc32(ids), total, sequence, offset, size, place, ids))
             offset += n
 
     def taken(self, kinds: list[pa.Field]) -> pa.RecordBatch:
@@ -128,8 +131,26 @@ class Packer:
         return pa.RecordBatch.from_arrays(arrays, names=[f.name for f in kinds])
 
 
+def _grouped(pieces: DataFrame, group_tokens: int) -> DataFrame:
+    """Pieces with the step group of their window instead of its place among the windows of its tier and task."""
+    task = F.shiftright("sequence_id", LOCAL_BITS).alias("task")
+    held = pieces.groupBy("tier", task).agg((F.max("place") + 1).alias("windows"))
+    earlier = Window.partitionBy("tier").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("tier", "task", F.coalesce(F.sum("windows").over(earlier), F.lit(0)).alias("first"))
+    of_group = F.greatest(F.lit(1), F.lit(group_tokens) / F.col("tier")).cast("long")
+    number = F.floor((F.col("first") + F.col("place")) / of_group)
+    group = number * 16 + F.length(F.bin("tier"))
+    joined = pieces.withColumn("task", task).join(held, ["tier", "task"])
+    return joined.select(*[c if c != "place" else group.cast("long").alias("step_group") for c in pieces.columns])
+
+
 def packed(
-    docs: DataFrame, path: str, tiers: tuple[int, ...] = TIERS, with_ids: bool = False, keep_caches: bool = False
+    docs: DataFrame,
+    path: str,
+    tiers: tuple[int, ...] = TIERS,
+    with_ids: bool = False,
+    keep_caches: bool = False,
+    group_tokens: int = GROUP_TOKENS,
 ) -> DataFrame:
     """Pieces of the token ids of all rows of `docs` (doc_id, text), each with the end token: doc_id, start, length,
     ids_crc32, doc_tokens, sequence_id, offset, tier, step_group, and ids if asked for. A sequence_id holds the number
@@ -144,7 +165,7 @@ def packed(
             if kinds is None:
                 longs = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
                 kinds = [pa.field("doc_id", batch.schema.field("doc_id").type), *(pa.field(n, pa.int64()) for n in longs)]
-                kinds += [pa.field("tier", pa.int32()), pa.field("step_group", pa.int64())]
+                kinds += [pa.field("tier", pa.int32()), pa.field("place", pa.int64())]
                 kinds += [pa.field("ids", pa.list_(pa.int64()))] * with_ids
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 packer.add(doc, words.ids(text) + END)
@@ -158,4 +179,4 @@ def packed(
         if packer.out:
             yield packer.taken(kinds)
 
-    return docs.mapInArrow(pack, schema)
+    return _grouped(Scratch(docs.sparkSession).put(docs.mapInArrow(pack, schema), "pieces"), group_tokens)

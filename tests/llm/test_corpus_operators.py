@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import math
 import zlib
 from collections import Counter, defaultdict
@@ -25,6 +26,7 @@ from rollcall.llm import (
     secrets,
     substring_dedup,
     token_counts,
+    vocabulary,
 )
 
 BASE = " ".join(f"word{i % 37}x{i}" for i in range(80))
@@ -219,6 +221,41 @@ def test_packing_is_gapless_and_full(docs, rows, empty):
     assert packing.packed(empty, path).count() == 0
 
 
+def test_step_groups_hold_the_same_tokens_across_tasks(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [(i, " ".join(f"w{i * j % 97}" for j in range(i * 37 % 900))) for i in range(160)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    tiers = (16, 64, 256)
+    pieces = packing.packed(docs, path, tiers, group_tokens=1024).collect()
+    windows, tasks = defaultdict(int), defaultdict(set)
+    for p in pieces:
+        windows[p.step_group, p.tier, p.sequence_id] += p.length
+        tasks[p.tier].add(p.sequence_id >> packing.LOCAL_BITS)
+    assert all(tokens == tier for (_, tier, _), tokens in windows.items())
+    groups = defaultdict(dict)
+    for (group, tier, _), tokens in windows.items():
+        groups[tier][group] = groups[tier].get(group, 0) + tokens
+    assert len(groups[256]) > 2 and len(tasks[256]) == 5
+    assert sum(len(g) for g in groups.values()) == len({g for held in groups.values() for g in held})
+    for held in groups.values():
+        *full, last = (held[g] for g in sorted(held))
+        assert set(full) <= {1024} and last <= 1024
+
+
+@pytest.mark.parametrize("spoil", ["none", "merges", "unreachable"])
+def test_merges_by_rank_only_where_they_surely_agree(spoil):
+    model = json.loads(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).to_str())
+    vocab, merges = model["model"]["vocab"], model["model"]["merges"]
+    if spoil == "merges":
+        merges[0], merges[1] = merges[1], merges[0]
+    if spoil == "unreachable":  # of two ways to one token the later pair is the one the library knows
+        vocab["zqj</w>"] = max(vocab.values()) + 10
+        vocab["qj</w>"], vocab["zq"] = vocab["zqj</w>"] - 2, vocab["zqj</w>"] - 1
+        merges += [["q", "j</w>"], ["z", "q"], ["zq", "j</w>"]]
+    ranks = vocabulary.ranked_merges(Tokenizer.from_str(json.dumps(model)))
+    assert (ranks is not None) == (spoil == "none")
+
+
 def test_substring_dedup(docs, rows, empty, monkeypatch):
     order = lambda i: 2**63 - 1 if i is None else i
     first = {}
