@@ -5,7 +5,8 @@ that are no blanks or quotes. Features: length,
 share of digits, changes of character class, distinct characters, coverage by a dictionary of the corpus's own letter
 triples, path signs, the word before and whether the value is assigned. The forest is grown level by level: one
 aggregate counts labels by tree, node, feature and bin over a bounded sample of labelled findings, and the best splits
-become one SQL expression, so that a scan is a single pass of code-generated expressions.
+become one SQL expression, so that a scan is a single pass of code-generated expressions. Candidates and their features
+are written once and read for teaching and judging.
 
 Defined results: a null or empty text has no finding. Each occurrence is a finding, also repeated ones and those of
 repeated rows. Without labelled findings of both kinds every candidate has the share of true labels as its score (0.5
@@ -211,7 +212,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """Findings of `docs` (doc_id, text): doc_id, start, length, value_sha256, label, score, is_secret. `labelled` holds
     candidates with a label; without it those that `weak_labels` is sure of teach the forest, which then judges all."""
     triples = common_triples(docs)
-    found = with_features(candidates(docs), triples)
+    found = Scratch(docs.sparkSession).put(with_features(candidates(docs), triples), "candidates")
     grown = forest(weak_labels(found) if labelled is None else with_features(labelled, triples))
     score = sum((t.expression() for t in grown), F.lit(0.0)) / len(grown)
     return found.select(

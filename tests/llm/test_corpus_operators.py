@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from rollcall.llm import (
@@ -386,6 +387,26 @@ def test_secret_scan(docs, rows, empty):
     assert secrets.scan(empty).count() == 0
 
 
+def test_secret_candidates_equal_a_plain_search(docs, rows, spark, sf_dir):
+    """The same patterns walked match by match: places, leads and the text before, with a long text and given documents."""
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    many = " ".join(f"key{i}={i}abcdefghijk{i} é token: 'a{i}b-c;d'," for i in range(3000))
+    frame = given.unionByName(docs.select("doc_id", "text")).unionByName(spark.createDataFrame([(-7, many)], given.schema))
+    plain = lambda pattern: regex.compile(pattern.replace(r"\z", r"\Z"), regex.ASCII)
+    whole, lead = plain(secrets.CANDIDATE), plain(f"(?:{secrets.TELLING}|{secrets.LEAD})")
+    expected = Counter()
+    for doc_id, text in frame.collect():
+        for m in whole.finditer(text or ""):
+            led = lead.match(m[0])
+            led = led[0] if led else ""
+            value, start = m[0][len(led) :], m.start() + len(led)
+            mixed = any(c in "0123456789" for c in value) and any(c.isascii() and c.isalpha() for c in value)
+            if mixed or (led and regex.search(secrets.NAMES, led)):
+                expected[doc_id, start, value, led, text[max(0, start - secrets.BEFORE) : start]] += 1
+    found = secrets.candidates(frame).select("doc_id", "start", "value", "lead", "before").collect()
+    assert Counter(map(tuple, found)) == expected and sum(expected.values()) > 6000
+
+
 def test_secret_scan_takes_long_values_whole(spark):
     part = lambda n: hashlib.sha512(str(n).encode()).hexdigest()
     jwt = f"eyJ{part(1)}.eyJ{part(2)}{part(3)}.{part(4)}{part(5)[:80]}"
