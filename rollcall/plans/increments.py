@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from rollcall.plans.estate import DAILY, Estate
 from rollcall.settings import Settings
 from rollcall.sources.days import DayRange, DayTables, LandedFeeds, feed_days, spans
-from rollcall.sources.store import TableStore
+from rollcall.sources.store import TableStore, sized
 
 #: Feeds without days: whatever changes in them may change every day.
 EVERYWHERE = ("workplace_dim", "dept_schedule")
@@ -54,8 +54,9 @@ def build_daily(
 ) -> None:
     """The daily tables of all landed days."""
     estate = Estate(spark, LandedFeeds(spark, root), settings, TableStore(spark)).settle("int_employee_day")
-    for name in DAILY:
-        tables.write(name, estate[name])
+    with sized(spark, estate.rows):
+        for name in DAILY:
+            tables.write(name, estate[name])
     estate.close()
 
 
@@ -78,7 +79,8 @@ def refresh(
     ranges = spans(days, sum(look) if look else len(days))
     for span in ranges:
         estate = Estate(spark, feeds, settings, TableStore(spark), span).settle("int_employee_day")
-        for name in DAILY:
-            tables.replace(name, estate[name], span)
+        with sized(spark, estate.rows):
+            for name in DAILY:
+                tables.replace(name, estate[name], span)
         estate.close()
     return ranges
