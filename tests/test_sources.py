@@ -102,6 +102,16 @@ def test_a_broken_day_is_one_partition_fewer(spark, estate, tmp_path):
     assert [p["partition"] for p in parts] == ["dt=2024-01-05"] and parts[0]["rows"] == row["violations"]
 
 
+def test_folders_of_landed_rows_are_cut_without_a_pattern(spark, estate, tmp_path):
+    """The folder is worked out for every row of a landed feed."""
+    root = f"file://{tmp_path}"
+    write_feed(estate["badge_taps"].limit(50), root, "badge_taps")
+    found = landed_partitions(spark, root, "badge_taps")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan and "substring_index" in plan
+    assert {r["partition"][:3] for r in found.collect()} == {"dt="}
+
+
 def test_sound_files_pass_the_contracts_and_build(spark, estate, landed):
     assert landed_violations(spark, landed).where("violations > 0").isEmpty()
     built = build(spark, landed)
