@@ -53,10 +53,11 @@ def build_daily(
     spark: SparkSession, root: str, tables: DayTables, settings: Settings | None = None
 ) -> None:
     """The daily tables of all landed days."""
-    estate = Estate(spark, LandedFeeds(spark, root), settings, TableStore(spark)).settle("int_employee_day")
+    estate = Estate(spark, LandedFeeds(spark, root), settings, TableStore(spark))
     with sized(spark, estate.rows):
         for name in DAILY:
             tables.write(name, estate[name])
+            estate.take(name, tables.read(name))
     estate.close()
 
 
@@ -78,9 +79,10 @@ def refresh(
     look = settings.tap_look()
     ranges = spans(days, sum(look) if look else len(days))
     for span in ranges:
-        estate = Estate(spark, feeds, settings, TableStore(spark), span).settle("int_employee_day")
+        estate = Estate(spark, feeds, settings, TableStore(spark), span)
         with sized(spark, estate.rows):
             for name in DAILY:
                 tables.replace(name, estate[name], span)
+                estate.take(name, tables.read(name, span))
         estate.close()
     return ranges

@@ -112,3 +112,19 @@ def test_changes_of_feeds_without_days_affect_every_day(spark, estate):
     assert count({"dept_schedule": estate["dept_schedule"]}) == count({"badge_taps": estate["badge_taps"].limit(1)}, Settings()) == 32
     assert count({"dept_schedule": estate["dept_schedule"].limit(0)}) == count({"badge_taps": estate["badge_taps"].limit(0)}) == 0
     assert count({"hr_employee_snapshot": estate["hr_employee_snapshot"].where("snapshot_date = '2024-01-03'")}) == 1
+
+
+def test_daily_tables_are_written_once(spark, landed, tmp_path, monkeypatch):
+    """The facts read the employee-days where they were written by day; no second copy goes to the store."""
+    put, stored, written = TableStore.put, [], []
+    monkeypatch.setattr(TableStore, "put", lambda self, name, *a: (stored.append(name), put(self, name, *a))[1])
+    shaped = DayTables._shaped
+    monkeypatch.setattr(DayTables, "_shaped", lambda self, df: (written.append(df.inputFiles()), shaped(self, df))[1])
+    tables = DayTables(spark, str(tmp_path))
+    build_daily(spark, landed, tables, TWO_DAYS)
+    changes = {"hr_employee_snapshot": LandedFeeds(spark, landed).between("hr_employee_snapshot", WEEK)}
+    assert refresh(spark, landed, tables, changes, TWO_DAYS) == [WEEK]
+    assert "int_employee_day" not in stored and "kept_taps" in stored
+    assert len(written) == 2 * len(DAILY)
+    for read in (written[1], written[2], written[5], written[6]):  # both facts of employee-days, twice
+        assert any(f"{tmp_path}/int_employee_day/" in file for file in read)
