@@ -9,6 +9,7 @@ import pytest
 
 from rollcall.operators.repeats import drop_repeats
 from rollcall.plans import marts, presence, staging
+from rollcall.plans.estate import EMPLOYEE_DAY_READ
 from rollcall.sources import store
 
 
@@ -165,3 +166,15 @@ def test_no_python_runs_in_any_model(estate):
         e._tables["stg_workplace"] = estate["stg_workplace"]
         plan = physical(e[name])
         assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_the_read_employee_day_has_all_rows_and_few_columns(spark, estate, monkeypatch):
+    """Queries that only count store what is read of the wide table; what isn't read is not shuffled either."""
+    put, stored = store.TableStore.put, {}
+    monkeypatch.setattr(store.TableStore, "put", lambda self, name, df, *a: (stored.update({name: df}), put(self, name, df, *a))[1])
+    e = type(estate)(spark, estate._feeds).settle_read("int_employee_day", "fct_attendance_daily")
+    whole = estate["int_employee_day"].select(*EMPLOYEE_DAY_READ)
+    assert e["int_employee_day"].exceptAll(whole).isEmpty() and whole.exceptAll(e["int_employee_day"]).isEmpty()
+    assert e["fct_attendance_daily"].exceptAll(estate["fct_attendance_daily"]).isEmpty()
+    plan = physical(stored["int_employee_day"])
+    assert "manager_id" not in plan and "badge_type" not in plan and "tower_first" not in plan
