@@ -162,6 +162,27 @@ def test_first_per_key_sorts_nulls_last(spark):
     assert {r["k"]: r["v"] for r in got.collect()} == {"a": "w", "b": "z"}
 
 
+def test_versions_are_found_by_a_single_sort(spark):
+    """Each version is read off its last row: one exchange, one sort, no grouping. Repeats and undated rows count."""
+    rows = [("a", 1, "x", 1), ("a", 1, "x", 2), ("a", 2, "x", 0), ("a", 4, "y", 5), ("a", 4, "y", 5), ("a", 5, "x", 9)]
+    rows += [("b", None, "p", 1), ("b", 3, "p", 2), ("c", None, "q", 1), (None, 7, "n", 1), (None, 8, None, 1)]
+    df = spark.createDataFrame(rows, "k string, day int, v string, c int")
+    out = versions(df, "k", "day", F.col("v"), ["v", "c"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [") == 1 and plan.count("Exchange") == 1 and "Aggregate" not in plan
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    want = [
+        ("a", 1, 1, 2, 3, False, "x", 0),
+        ("a", 2, 4, 4, 2, False, "y", 5),
+        ("a", 3, 5, 5, 1, True, "x", 9),
+        ("b", 1, 3, 3, 2, True, "p", 2),
+        ("c", 1, None, None, 1, None, "q", 1),
+        (None, 1, 7, 7, 1, False, "n", 1),
+        (None, 2, 8, 8, 1, True, None, 1),
+    ]
+    assert got == sorted(want, key=str)
+
+
 def test_versions_open_on_change_and_survive_gaps(spark):
     d = lambda n: date(2024, 3, n)
     rows = [
