@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rollcall.plans.estate import DAILY, Estate
 from rollcall.settings import Settings
-from rollcall.sources.days import DayRange, DayTables, LandedFeeds, feed_days, spans
+from rollcall.sources.days import DayRange, DayTables, LandedFeeds, Undated, feed_days, spans
 from rollcall.sources.store import TableStore, sized
 
 #: Feeds without days: whatever changes in them may change every day.
@@ -49,14 +49,25 @@ def affected_days(
     return out.where("day IS NOT NULL").distinct()
 
 
+def _in_parts(estate: Estate) -> Iterator[tuple[str, list[tuple[DayRange | Undated | None, DataFrame]]]]:
+    """The daily tables, the two with the widest shuffles in parts of their days: disk holds those of one part at a time."""
+    parts = estate.day_parts()
+    if len(parts) > 1:
+        estate.settle("int_tap_day")  # every part reads it
+    for name in DAILY:
+        some = parts if name in ("int_employee_day", "fct_attendance_daily") else [None]
+        yield name, [(part, estate.of_part(name, part)) for part in some]
+
+
 def build_daily(
     spark: SparkSession, root: str, tables: DayTables, settings: Settings | None = None
 ) -> None:
     """The daily tables of all landed days."""
     estate = Estate(spark, LandedFeeds(spark, root), settings, TableStore(spark))
     with sized(spark, estate.rows):
-        for name in DAILY:
-            tables.write(name, estate[name])
+        for name, rows_of in _in_parts(estate):
+            for n, (part, rows) in enumerate(rows_of):
+                tables.write(name, rows, part, add=n > 0)
             estate.take(name, tables.read(name))
     estate.close()
 
@@ -81,8 +92,9 @@ def refresh(
     for span in ranges:
         estate = Estate(spark, feeds, settings, TableStore(spark), span)
         with sized(spark, estate.rows):
-            for name in DAILY:
-                tables.replace(name, estate[name], span)
+            for name, rows_of in _in_parts(estate):
+                for part, rows in rows_of:
+                    tables.replace(name, rows, span, part)
                 estate.take(name, tables.read(name, span))
         estate.close()
     return ranges

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import date
 
 import pytest
@@ -14,7 +15,7 @@ from rollcall.plans.estate import DAILY, Estate
 from rollcall.plans.increments import affected_days, build_daily, refresh
 from rollcall.plans.metrics import MetricLayer
 from rollcall.settings import Settings
-from rollcall.sources.days import DayRange, DayTables, LandedFeeds, spans
+from rollcall.sources.days import DayRange, DayTables, LandedFeeds, parts, spans
 from rollcall.sources.feeds import write_feed
 from rollcall.sources.store import TableStore
 
@@ -128,3 +129,60 @@ def test_daily_tables_are_written_once(spark, landed, tmp_path, monkeypatch):
     assert len(written) == 2 * len(DAILY)
     for read in (written[1], written[2], written[5], written[6]):  # both facts of employee-days, twice
         assert any(f"{tmp_path}/int_employee_day/" in file for file in read)
+
+
+def test_parts_hold_so_many_rows_or_a_day():
+    d = lambda n: date(2024, 1, n)
+    rows = {d(2): 3, d(3): 3, d(5): 9, d(6): 1, d(9): 2}
+    assert parts(DayRange(d(1), d(10)), rows, 6) == [DayRange(d(1), d(4)), DayRange(d(5), d(5)), DayRange(d(6), d(10))]
+    assert parts(DayRange(d(1), d(4)), rows, 6) == [DayRange(d(1), d(4))]
+    assert parts(DayRange(d(4), d(6)), rows, 1) == [DayRange(d(4), d(5)), DayRange(d(6), d(6))]
+
+
+def test_daily_tables_in_parts_have_the_rows_of_the_whole(spark, estate, tmp_path, monkeypatch):
+    """Parts of four days, shuffled by day, and shorter ones, written as they are; rows without a day are a part too."""
+    root, feeds = str(tmp_path / "feeds"), LandedFeeds(spark, str(tmp_path / "feeds"))
+    for name in feeds:
+        write_feed(estate[name], root, name)
+    hr = estate["hr_employee_snapshot"].where("snapshot_date <= '2024-01-10'")
+    undated = hr.where("emp_id IN ('E5', 'E6')").withColumn("snapshot_date", F.lit(None).cast("date"))
+    write_feed(hr.unionByName(undated).unionByName(hr.where("emp_id = 'E7'")), root, "hr_employee_snapshot")
+    late = F.col("tap_ts_utc").cast("date") == F.lit(date(2024, 1, 6))
+    changes = {"badge_taps": estate["badge_taps"].where(late)}
+    monkeypatch.setattr(DayTables, "FEW", 3)
+    written, add, replace = [], DayTables.write, DayTables.replace
+    monkeypatch.setattr(DayTables, "write", lambda self, name, *a, **k: (written.append(name), add(self, name, *a, **k))[1])
+    monkeypatch.setattr(DayTables, "replace", lambda self, name, *a: (written.append(name), replace(self, name, *a))[1])
+    tables, counts = {}, {}
+    for most in (20_000_000, 700):
+        monkeypatch.setattr("rollcall.plans.estate.ROWS_AT_ONCE", most)
+        tables[most] = DayTables(spark, str(tmp_path / f"daily_{most}"))
+        write_feed(estate["badge_taps"].where(~late), root, "badge_taps")
+        build_daily(spark, root, tables[most], TWO_DAYS)
+        write_feed(estate["badge_taps"].where(late), root, "badge_taps", replace_days_only=True)
+        refresh(spark, root, tables[most], changes, TWO_DAYS)
+        counts[most] = [written.count(n) for n in DAILY]
+        written.clear()
+    assert counts[20_000_000] == [2, 2, 2, 2] and counts[700] == [6, 6, 2, 2]
+    for name in DAILY:
+        whole, in_parts = (t.read(name) for t in tables.values())
+        assert whole.count() and whole.exceptAll(in_parts).isEmpty() and in_parts.exceptAll(whole).isEmpty()
+    assert tables[700].read("int_employee_day").where("local_date IS NULL").count() == undated.count() > 0
+
+
+def test_written_tables_leave_no_shuffle_files(spark, estate, tmp_path):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+
+    def shuffled():
+        return {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+
+    before, tables = shuffled(), DayTables(spark, str(tmp_path / "daily"))
+    df = estate["int_employee_day"].groupBy("local_date").count()
+    tables.write("t", df)
+    tables.replace("t", df, WEEK)
+    write_feed(estate["badge_taps"], str(tmp_path), "badge_taps")
+    TableStore(spark).put("t", df)
+    until = time.time() + 10  # executors delete the files on their own
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
